@@ -11,13 +11,13 @@ NULL_MARK = "\\N"
 def write_handoff(df: DataFrame, path: str) -> None:
     """Comma-separated files in which a missing value is ``\\N``.
 
-    An empty text stays distinct from a missing one.
+    An empty text is written as ``""`` and so stays distinct from a missing one.
     """
-    df.write.mode("overwrite").option("nullValue", NULL_MARK).option("emptyValue", "").csv(path)
+    df.write.mode("overwrite").option("nullValue", NULL_MARK).csv(path)
 
 
 def read_handoff(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("nullValue", NULL_MARK).option("emptyValue", "").csv(path)
+    return spark.read.schema(schema).option("nullValue", NULL_MARK).csv(path)
 
 
 def append_batch(df: DataFrame, path: str, *partitions: str) -> None:

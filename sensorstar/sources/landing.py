@@ -65,7 +65,7 @@ def import_decimal(text: Column, precision: int = 18, scale: int = 2) -> Column:
 
 def import_dump(spark: SparkSession, path: str, columns: str, times: Sequence[str], decimals: Sequence[str]) -> DataFrame:
     """A delimited database dump, every column read as text and cast by rule."""
-    raw = spark.read.schema(columns).csv(path, header=True, nullValue="\\N", emptyValue="")
+    raw = spark.read.schema(columns).csv(path, header=True, nullValue="\\N")
     return cast_dump(raw, times, decimals)
 
 
