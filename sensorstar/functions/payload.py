@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sensorstar.functions.text import strip
+from sensorstar.functions.text import once, strip
 
 CAMERA_STRUCT = (
     "detectionType string, utc string, lp string, sensor string, "
@@ -72,27 +72,30 @@ def tolerant_payload(payload: Column) -> Column:
     read with double quotes; any other text becomes ``{"raw_value": text}``. A
     list holding one object stands for that object.
     """
-    text = strip(payload)
-    raw = F.to_variant_object(F.struct(text.alias("raw_value")))
-    value = F.coalesce(
-        json_value(text),
-        json_value(F.when(only_single_quotes(text), double_quoted(text))),
-        F.when(text.isNotNull(), raw),
-    )
-    return unwrapped(value)
+
+    def read(text: Column) -> Column:
+        return F.coalesce(
+            json_value(text),
+            json_value(F.when(only_single_quotes(text), double_quoted(text))),
+            F.when(text.isNotNull(), F.to_variant_object(F.struct(text.alias("raw_value")))),
+        )
+
+    return unwrapped(once(strip(payload), read))
 
 
 def unwrapped(value: Column) -> Column:
     """The object of a one-element list, else the value itself."""
-    return F.when(
-        (F.size(as_list(value)) == 1) & as_object(F.try_variant_get(value, "$[0]", "variant")).isNotNull(),
-        F.try_variant_get(value, "$[0]", "variant"),
-    ).otherwise(value)
+
+    def only_object(v: Column) -> Column:
+        first = F.when(F.size(as_list(v)) == 1, F.try_variant_get(v, "$[0]", "variant"))
+        return F.coalesce(F.when(as_object(first).isNotNull(), first), v)
+
+    return once(value, only_object)
 
 
 def first_of_list(value: Column) -> Column:
     """Element 0 of a non-empty list, else the value itself."""
-    return F.when(F.size(as_list(value)) > 0, F.try_variant_get(value, "$[0]", "variant")).otherwise(value)
+    return once(value, lambda v: F.coalesce(F.when(F.size(as_list(v)) > 0, F.try_variant_get(v, "$[0]", "variant")), v))
 
 
 def text_of(value: Column) -> Column:

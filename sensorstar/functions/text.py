@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ WHITESPACE = " \t\r\n\f\x0b"
 TABLE_KEYWORDS = "(energo|dcuk|camea|ttndata|bilina|cez|decin|mve)"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def blank_to_null(text: Column) -> Column:
     """``NULLIF(TRIM(x), '')``."""
     return F.nullif(F.trim(text), F.lit(""))
@@ -37,8 +44,12 @@ def city_by_position(topic: Column) -> Column:
 
 def column_name(path: Column) -> Column:
     """A safe column name: lower case, runs of other signs become one ``_``."""
-    name = F.btrim(F.regexp_replace(F.lower(path), "[^a-z0-9]+", "_"), F.lit("_"))
-    return F.when((name == "") | name.rlike("^[0-9]"), F.concat(F.lit("col_"), name)).otherwise(name)
+    return leading_letter(F.btrim(F.regexp_replace(F.lower(path), "[^a-z0-9]+", "_"), F.lit("_")))
+
+
+def leading_letter(name: Column) -> Column:
+    """``col_`` before a name that is empty or starts with a digit."""
+    return F.regexp_replace(name, "^(?=[0-9]|$)", "col_")
 
 
 def legacy_column_name(path: Column, when_empty: str) -> Column:

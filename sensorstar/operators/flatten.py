@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorstar.functions import payload as P
-from sensorstar.functions.text import column_name, legacy_column_name, strip
+from sensorstar.functions.text import column_name, leading_letter, legacy_column_name, once, strip
 
 # Containers nested deeper than this stay whole, as one leaf with JSON text.
 DEEPEST = 16
@@ -26,24 +26,23 @@ def nesting_bound(rows: DataFrame, column: str = "payload") -> int:
     return max(1, found)
 
 
-def _entry(path: Column, value: Column) -> Column:
-    return F.struct(path.alias("path"), value.alias("value"))
-
-
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def _entry(path: Column, value: Column, done: bool = False) -> Column:
+    """``done`` marks a leaf: later levels pass it on unread."""
+    return F.struct(path.alias("path"), value.alias("value"), F.lit(done).alias("done"))
 
 
 def _expand(entries: Column, step: Callable[[Column], Column], levels: int) -> Column:
+    def level(entry: Column) -> Column:
+        return F.when(entry["done"], F.array(entry)).otherwise(step(entry))
+
     for _ in range(levels):
-        entries = F.flatten(F.transform(entries, step))
+        entries = F.flatten(F.transform(entries, level))
     return entries
 
 
 def requoted(value: Column) -> Column:
     """The value inside a text that looks like JSON, single quotes allowed."""
-    return _let(
+    return once(
         P.text_of(F.when(F.schema_of_variant(value) == "STRING", value)),
         lambda text: F.coalesce(P.json_value(F.when(P.looks_like_json(text), P.double_quoted(strip(text)))), value),
     )
@@ -53,14 +52,14 @@ def _by_position(entry: Column) -> Column:
     def named(key: Column) -> Column:
         return F.concat(column_name(F.concat(entry["path"], key)), F.lit("_"))
 
-    return _let(
+    return once(
         requoted(entry["value"]),
         lambda value: F.coalesce(
             F.transform(F.map_entries(P.as_object(value)), lambda kv: _entry(named(kv["key"]), kv["value"])),
             F.transform(
                 P.as_list(value), lambda item, i: _entry(F.concat(entry["path"], i.cast("string"), F.lit("_")), item)
             ),
-            F.array(_entry(entry["path"], value)),
+            F.array(_entry(entry["path"], value, done=True)),
         ),
     )
 
@@ -77,7 +76,7 @@ def _members(entry: Column, blank_key: str | None) -> Column:
 
 def _list_as_text(entry: Column) -> Column:
     path = F.when(entry["path"] == "", F.lit("array_")).otherwise(entry["path"])
-    return F.when(P.as_list(entry["value"]).isNotNull(), F.array(_entry(path, P.text_of(entry["value"]).cast("variant"))))
+    return F.when(P.as_list(entry["value"]).isNotNull(), F.array(_entry(path, P.text_of(entry["value"]).cast("variant"), done=True)))
 
 
 def _by_first_element(entry: Column) -> Column:
@@ -85,16 +84,20 @@ def _by_first_element(entry: Column) -> Column:
     first = F.get(P.as_list(entry["value"]), F.lit(0))
     container = P.as_object(first).isNotNull() | P.as_list(first).isNotNull()
     represented = F.when(container, F.array(_entry(F.concat(entry["path"], F.lit("array_")), first)))
-    return F.coalesce(_members(entry, None), represented, _list_as_text(entry), F.array(entry))
+    return F.coalesce(_members(entry, None), represented, _list_as_text(entry), _leaf(entry))
 
 
 def _by_list_text(entry: Column) -> Column:
-    return F.coalesce(_members(entry, "unknown"), _list_as_text(entry), F.array(entry))
+    return F.coalesce(_members(entry, "unknown"), _list_as_text(entry), _leaf(entry))
+
+
+def _leaf(entry: Column) -> Column:
+    return F.array(_entry(entry["path"], entry["value"], done=True))
 
 
 # mode -> (one level, leaf path to column name)
 MODES: dict[str, tuple[Callable[[Column], Column], Callable[[Column], Column]]] = {
-    "index": (_by_position, column_name),
+    "index": (_by_position, lambda path: leading_letter(F.btrim(path, F.lit("_")))),
     "first": (_by_first_element, lambda path: legacy_column_name(path, "value")),
     "text": (_by_list_text, lambda path: legacy_column_name(F.when(path == "", F.lit("value")).otherwise(path), "col_1")),
 }
@@ -105,12 +108,8 @@ def flat_entries(value: Column, levels: int, mode: str = "index") -> Column:
     vanish. When two members get the same name, the first in raw key order stays."""
     step, name = MODES[mode]
     leaves = _expand(F.array(_entry(F.lit(""), value)), step, levels)
-    if mode == "index":
-        leaves = F.filter(leaves, lambda e: ~F.schema_of_variant(e["value"]).isin("OBJECT<>", "ARRAY<VOID>") | (F.size(P.as_list(e["value"])) > 0))
-    else:
-        leaves = F.filter(leaves, lambda e: F.schema_of_variant(e["value"]) != "OBJECT<>")
-    named = F.transform(leaves, lambda e: _entry(name(e["path"]), e["value"]))
-    return F.when(value.isNotNull(), _let(named, _first_of_each_name))
+    named = F.transform(leaves, lambda e: F.struct(name(e["path"]).alias("path"), e["value"].alias("value")))
+    return F.when(value.isNotNull(), once(named, _first_of_each_name))
 
 
 def _first_of_each_name(entries: Column) -> Column:
@@ -129,7 +128,8 @@ def flattened(landing: DataFrame, levels: int | None = None) -> DataFrame:
 
 def leaf_rows(rows: DataFrame, *keep: str) -> DataFrame:
     """One row per leaf: ``path``, the VARIANT ``value``, its ``kind`` and ``text``."""
-    exploded = rows.select(*keep, F.explode("leaves").alias("_leaf"))
+    # explode_outer: the filter that explode implies would compute the leaves twice
+    exploded = rows.select(*keep, F.explode_outer("leaves").alias("_leaf")).where(F.col("_leaf").isNotNull())
     value = F.col("_leaf")["value"]
     return exploded.select(
         *keep, F.col("_leaf")["path"].alias("path"), value.alias("value"), P.kind(value).alias("kind"), P.text_of(value).alias("text")
@@ -143,7 +143,8 @@ def element_rows(landing: DataFrame) -> DataFrame:
     value = F.coalesce(P.json_value(F.col("payload")), F.when(F.col("payload").isNotNull(), F.to_variant_object(text)))
     parsed = landing.withColumn("_value", value)
     parsed = parsed.withColumn("_items", F.coalesce(P.as_list(F.col("_value")), F.array("_value")))
-    return parsed.select("*", F.posexplode("_items").alias("element", "value")).drop("_value", "_items")
+    items = parsed.select("*", F.posexplode_outer("_items").alias("element", "value")).drop("_value", "_items")
+    return items.where(F.col("element").isNotNull())
 
 
 def flattened_elements(landing: DataFrame, mode: str, levels: int | None = None) -> DataFrame:
@@ -165,7 +166,7 @@ def _signature_step(state: Column) -> Column:
     def from_text(found: Column) -> Column:
         inner = P.json_value(F.when(P.only_single_quotes(strip(found)), P.double_quoted(found)).otherwise(found))
         scalar = F.array(_state(F.concat(_without_last(name), F.lit(":scalar")), value, F.lit(True)))
-        opened = _let(
+        opened = once(
             inner,
             lambda v: F.when(v.isNotNull(), F.array(_state(F.concat(name, F.lit("subjson:object_")), v, open_))),
         )
@@ -176,9 +177,7 @@ def _signature_step(state: Column) -> Column:
         lambda kv: _state(F.concat(name, kv["key"], F.lit(":object_")), kv["value"], open_),
     )
     listed = F.transform(F.slice(P.as_list(value), 1, 1), lambda v: _state(F.concat(name, F.lit("array:")), v, open_))
-    return F.when(state["done"], F.array(state)).otherwise(
-        F.coalesce(members, listed, _let(text, from_text), F.array(state))
-    )
+    return F.coalesce(members, listed, once(text, from_text), F.array(state))
 
 
 def _without_last(name: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorstar.functions.text import TABLE_KEYWORDS, topic_parts
+from sensorstar.functions.text import TABLE_KEYWORDS
 from sensorstar.operators.numbering import number_rows
 from sensorstar.session import literal_rows
 
@@ -68,6 +68,3 @@ def cluster_names(clusters: DataFrame) -> DataFrame:
         ),
     )
 
-
-def part_count(topic_column: str):
-    return F.size(topic_parts(F.col(topic_column)))
