@@ -190,7 +190,7 @@ STATEMENTS: dict[str, str] = {
         CAST(floor((landing_id - 1) / 500) AS BIGINT) * 500 + 500 AS last_id, max(landing_id) AS highest_id, count(*) AS rows
         FROM staging GROUP BY 1""",
     "running_fact_keys": """SELECT camera_detection_key, velocity,
-        row_number() OVER (ORDER BY camera_detection_key) + 1000 AS fact_key FROM facts WHERE velocity > 0""",
+        row_number() OVER (ORDER BY camera_detection_key) + 1000 AS fact_key FROM facts""",
     "uuid_fact_keys": "SELECT count(*) AS rows, count(*) AS keys FROM facts",
     "load_reconciliation": f"""SELECT batch_no, coalesce(s.n, 0) AS staged, coalesce(f.n, 0) AS loaded,
         coalesce(s.n, 0) - coalesce(f.n, 0) AS missing FROM ({batch_rows("staging", "landing_id")}) s

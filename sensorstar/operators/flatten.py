@@ -40,28 +40,29 @@ def _expand(entries: Column, step: Callable[[Column], Column], levels: int) -> C
     return entries
 
 
-def requoted(value: Column) -> Column:
-    """The value inside a text that looks like JSON, single quotes allowed."""
+def value_in_text(scalar: Column) -> Column:
+    """The JSON value written in a text, single quotes allowed; NULL if none is."""
     return once(
-        P.text_of(F.when(F.schema_of_variant(value) == "STRING", value)),
-        lambda text: F.coalesce(P.json_value(F.when(P.looks_like_json(text), P.double_quoted(strip(text)))), value),
+        strip(P.text_of(scalar)), lambda text: P.json_value(F.when(P.looks_like_json(text), P.double_quoted(text)))
     )
 
 
 def _by_position(entry: Column) -> Column:
+    path, value = entry["path"], entry["value"]
+
     def named(key: Column) -> Column:
-        return F.concat(column_name(F.concat(entry["path"], key)), F.lit("_"))
+        return F.concat(column_name(F.concat(path, key)), F.lit("_"))
 
-    return once(
-        requoted(entry["value"]),
-        lambda value: F.coalesce(
-            F.transform(F.map_entries(P.as_object(value)), lambda kv: _entry(named(kv["key"]), kv["value"])),
-            F.transform(
-                P.as_list(value), lambda item, i: _entry(F.concat(entry["path"], i.cast("string"), F.lit("_")), item)
-            ),
-            F.array(_entry(entry["path"], value, done=True)),
-        ),
-    )
+    def children(v: Column) -> Column:
+        return F.coalesce(
+            F.transform(F.map_entries(P.as_object(v)), lambda kv: _entry(named(kv["key"]), kv["value"])),
+            F.transform(P.as_list(v), lambda item, i: _entry(F.concat(path, i.cast("string"), F.lit("_")), item)),
+        )
+
+    def scalar(inner: Column) -> Column:
+        return F.coalesce(children(inner), F.array(_entry(path, F.coalesce(inner, value), done=True)))
+
+    return F.coalesce(children(value), once(value_in_text(value), scalar))
 
 
 def _members(entry: Column, blank_key: str | None) -> Column:
@@ -161,7 +162,6 @@ def _state(name: Column, value: Column, done: Column) -> Column:
 
 def _signature_step(state: Column) -> Column:
     name, value, open_ = state["name"], state["value"], F.lit(False)
-    text = P.text_of(F.when(F.schema_of_variant(value) == "STRING", value))
 
     def from_text(found: Column) -> Column:
         inner = P.json_value(F.when(P.only_single_quotes(strip(found)), P.double_quoted(found)).otherwise(found))
@@ -177,7 +177,7 @@ def _signature_step(state: Column) -> Column:
         lambda kv: _state(F.concat(name, kv["key"], F.lit(":object_")), kv["value"], open_),
     )
     listed = F.transform(F.slice(P.as_list(value), 1, 1), lambda v: _state(F.concat(name, F.lit("array:")), v, open_))
-    return F.coalesce(members, listed, once(text, from_text), F.array(state))
+    return F.coalesce(members, listed, once(P.text_of(value), from_text), F.array(state))
 
 
 def _without_last(name: Column) -> Column:

@@ -19,7 +19,7 @@ def velocity_by_class(cube: Cube) -> DataFrame:
 
 
 def detections_by_time(cube: Cube, grain: str = "minute") -> DataFrame:
-    found = cube.query(["detections"], ["full_date"], grain=grain, how="inner")
+    found = cube.query(["detections"], ["full_date"], grain=None if grain == "minute" else grain, how="inner")
     return found.withColumnRenamed("detections", "number_of_detections").orderBy("full_date")
 
 

@@ -337,7 +337,7 @@ def batch_ranges(spark, sf_dir):
 
 
 def running_fact_keys(spark, sf_dir):
-    rows = loaded_warehouse(spark, sf_dir).facts().where("velocity > 0").select("camera_detection_key", "velocity")
+    rows = loaded_warehouse(spark, sf_dir).facts().select("camera_detection_key", "velocity")
     return facts.running_fact_keys(rows, 1000)
 
 

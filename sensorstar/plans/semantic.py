@@ -35,7 +35,8 @@ class Measure:
 
 @dataclass(frozen=True)
 class Dimension:
-    """``table`` is the dimension table, or None for a column of the fact."""
+    """``table`` is the dimension table, or None for a column of the fact.
+    ``unique`` says that no two keys of the table share a value."""
 
     name: str
     sql: str
@@ -43,6 +44,7 @@ class Dimension:
     title: str = ""
     hidden: bool = False
     sort_by: str | None = None
+    unique: bool = False
 
 
 @dataclass(frozen=True)
@@ -106,7 +108,11 @@ class Cube:
         ``grain`` cuts the time dimension ``full_date`` to minute … year.
         """
         states = self._states(measures, dimensions, filters)
-        found = self._finish(self._labelled(states, dimensions, grain, how), measures, dimensions)
+        labelled = self._labelled(states, dimensions, grain, how)
+        if how == "inner" and self._one_row_per_group(measures, dimensions, grain):
+            found = labelled.select(*dimensions, *[self._from_one_state(self.measures[m]) for m in measures])
+        else:
+            found = self._finish(labelled, measures, dimensions)
         if order:
             found = found.orderBy(*order)
         return found if limit is None else found.limit(limit)
@@ -164,6 +170,19 @@ class Cube:
         """Answer from a stored roll-up; any subset of its dimensions will do."""
         return self._finish(spark.read.parquet(path), measures, dimensions)
 
+    def _one_row_per_group(self, measures: Sequence[str], dimensions: Sequence[str], grain: str | None) -> bool:
+        """Whether key groups and value groups are the same, so that grouping by
+        the values again would change nothing."""
+        if not dimensions or any(self.measures[m].type.startswith("distinct") for m in measures):
+            return False
+        unique = {self.dimensions[m].table for m in dimensions if self.dimensions[m].unique and not (grain and m == "full_date")}
+        return all(t in unique for t in self._tables(dimensions))
+
+    def _from_one_state(self, m: Measure) -> Column:
+        if m.type == "avg":
+            return (F.col(f"_{m.name}_sum") / F.nullif(F.col(f"_{m.name}_count"), F.lit(0))).alias(m.name)
+        return F.col(f"_{m.name}").alias(m.name)
+
     # ---- parts ------------------------------------------------------------------
 
     def _tables(self, members: Sequence[str]) -> list[str]:
@@ -306,14 +325,14 @@ DIMENSIONS = [
     Dimension("vehicle_class_key_hidden", "CAST(vehicle_class_key AS STRING)", hidden=True),
     Dimension("city_key_hidden", "city_key", hidden=True),
     Dimension("detection_type_key", "detection_type_key"),
-    Dimension("city_name", "city_name", "city"),
+    Dimension("city_name", "city_name", "city", unique=True),
     Dimension("is_active", "is_active", "city"),
-    Dimension("country_code", "country_code", "country"),
-    Dimension("sensor_code", "sensor_code", "sensor"),
-    Dimension("vehicle_class", "vehicle_class", "vehicle_class"),
-    Dimension("license_plate", "license_plate", "plate"),
-    Dimension("detection_type", "detection_type", "detection_type"),
-    Dimension("full_date", "full_date", "calendar"),
+    Dimension("country_code", "country_code", "country", unique=True),
+    Dimension("sensor_code", "sensor_code", "sensor", unique=True),
+    Dimension("vehicle_class", "vehicle_class", "vehicle_class", unique=True),
+    Dimension("license_plate", "license_plate", "plate", unique=True),
+    Dimension("detection_type", "detection_type", "detection_type", unique=True),
+    Dimension("full_date", "full_date", "calendar", unique=True),
     Dimension("year", "year_num", "calendar"),
     Dimension("month", "month_num", "calendar"),
     Dimension("day", "day_num", "calendar"),

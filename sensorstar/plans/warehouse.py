@@ -54,6 +54,8 @@ class Warehouse:
         self.profile = profile
         self.start, self.end = start, end
         self._loads: int | None = None
+        # Tables of finished loads never change, so their file lists are kept.
+        self._frames: dict[tuple[str, int], DataFrame] = {}
 
     # ---- tables -------------------------------------------------------------
 
@@ -81,13 +83,19 @@ class Warehouse:
         )
         self._empty("control", control.CONTROL_SCHEMA)
         self._loads = 0
+        self._frames.clear()
 
     def _empty(self, table: str, schema: str) -> None:
         literal_rows(self.spark, schema, []).coalesce(1).write.mode("overwrite").parquet(self.path(table))
 
     def _read(self, table: str, schema: str, through: int) -> DataFrame:
-        rows = self.spark.read.schema(schema + ", load int").parquet(self.path(table))
-        return rows.where(F.col("load") < through).drop("load")
+        if (table, through) not in self._frames:
+            rows = self.spark.read.schema(schema + ", load int").parquet(self.path(table))
+            rows = rows.where(F.col("load") < through).drop("load")
+            if through > self.loads():
+                return rows
+            self._frames[table, through] = rows
+        return self._frames[table, through]
 
     def loads(self) -> int:
         """Number of finished loads."""
@@ -102,7 +110,10 @@ class Warehouse:
         return self.spark.read.schema(control.RUN_SCHEMA).parquet(self.path("runs"))
 
     def calendar(self) -> DataFrame:
-        return self.spark.read.schema(dimensions.CALENDAR_SCHEMA).parquet(self.path("calendar"))
+        if ("calendar", 0) not in self._frames:
+            rows = self.spark.read.schema(dimensions.CALENDAR_SCHEMA).parquet(self.path("calendar"))
+            self._frames["calendar", 0] = rows
+        return self._frames["calendar", 0]
 
     def staging(self, through: int | None = None) -> DataFrame:
         return self._read("staging", staging.STAGING_SCHEMA, self.loads() if through is None else through)
@@ -163,7 +174,8 @@ class Warehouse:
         fresh = dimensions.new_members(counts, known, ["dimension", "member"])
         highest = known.where("key > 0").groupBy("dimension").agg(F.max("key").alias("highest_key"))
         keyed = dimensions.dense_keys(fresh.select("dimension", "member"), highest)
-        keyed.write.mode("overwrite").partitionBy("dimension").parquet(f"{self.path('members')}/load={load}")
+        member_path = f"{self.path('members')}/load={load}"
+        keyed.write.mode("overwrite").partitionBy("dimension").parquet(member_path)
 
         members = self.members(load + 1)
         by_name = {d: members.where(F.col("dimension") == d) for d in dimensions.NATURAL_KEYS}
@@ -179,7 +191,7 @@ class Warehouse:
             .parquet(fact_path)
         )
         fact_rows = self.spark.read.schema(facts.FACT_SCHEMA).parquet(fact_path).count()
-        new = self.members(load + 1).count() - self.members(load).count()
+        new = self.spark.read.schema(MEMBER_SCHEMA).parquet(member_path).count()
         return LoadReport(load, rows, fact_rows, new, last_id)
 
     def _commit(self, topic: str, load: int, last_id: int) -> None:
@@ -191,6 +203,7 @@ class Warehouse:
         marks = literal_rows(self.spark, control.CONTROL_SCHEMA, rows).coalesce(1)
         marks.write.mode("append").parquet(self.path("control"))
         self._loads = load + 1
+        self._frames.clear()
 
     def _log(self, run: str, topic: str, status: str, rows: int, message: str | None) -> None:
         event = [(run, JOB_NAME, topic, status, dt.datetime.now(dt.timezone.utc), rows, 0, message)]
