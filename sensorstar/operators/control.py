@@ -61,8 +61,9 @@ def resume_range(staging: DataFrame, mark: int, limit: int) -> DataFrame:
     first = F.lit(mark + 1) if mark else F.coalesce("low", F.lit(1))
     return bounds.select(
         first.cast("long").alias("first_id"),
-        F.least(first + limit - 1, F.col("high")).cast("long").alias("last_id"),
-    ).withColumn("has_rows", F.coalesce(F.col("last_id") >= F.col("first_id"), F.lit(False)))
+        F.when(F.col("high") < first + limit - 1, F.col("high")).otherwise(first + limit - 1).cast("long").alias("last_id"),
+        F.coalesce(F.col("high") >= first, F.lit(False)).alias("has_rows"),
+    )
 
 
 def runs(events: DataFrame) -> DataFrame:

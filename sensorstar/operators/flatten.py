@@ -22,8 +22,8 @@ DEEPEST = 16
 def nesting_bound(rows: DataFrame, column: str = "payload") -> int:
     """No payload nests deeper than its number of opening brackets."""
     opening = F.length(column) - F.length(F.translate(F.col(column), "{[", ""))
-    found = rows.agg(F.coalesce(F.max(F.least(opening, F.lit(DEEPEST))), F.lit(0))).first()[0]
-    return max(1, found)
+    found = rows.agg(F.max(opening)).first()[0]
+    return min(DEEPEST, max(1, found or 0))
 
 
 def _entry(path: Column, value: Column, done: bool = False) -> Column:
@@ -31,13 +31,16 @@ def _entry(path: Column, value: Column, done: bool = False) -> Column:
     return F.struct(path.alias("path"), value.alias("value"), F.lit(done).alias("done"))
 
 
-def _expand(entries: Column, step: Callable[[Column], Column], levels: int) -> Column:
+def _expand(rows: DataFrame, column: str, step: Callable[[Column], Column], levels: int) -> DataFrame:
+    """One column update per level: a single nested expression would take the
+    analyzer more passes than it allows."""
+
     def level(entry: Column) -> Column:
         return F.when(entry["done"], F.array(entry)).otherwise(step(entry))
 
     for _ in range(levels):
-        entries = F.flatten(F.transform(entries, level))
-    return entries
+        rows = rows.withColumn(column, F.flatten(F.transform(column, level)))
+    return rows
 
 
 def value_in_text(scalar: Column) -> Column:
@@ -104,13 +107,18 @@ MODES: dict[str, tuple[Callable[[Column], Column], Callable[[Column], Column]]]
 }
 
 
-def flat_entries(value: Column, levels: int, mode: str = "index") -> Column:
-    """Leaves of a VARIANT as ``array<struct<path, value>>``; empty containers
-    vanish. When two members get the same name, the first in raw key order stays."""
+def with_leaves(rows: DataFrame, value: str, levels: int, mode: str = "index") -> DataFrame:
+    """Adds ``leaves``, the leaves of a VARIANT column as ``array<struct<path,
+    value>>``; empty containers vanish. When two members get the same name, the
+    first in raw key order stays."""
     step, name = MODES[mode]
-    leaves = _expand(F.array(_entry(F.lit(""), value)), step, levels)
-    named = F.transform(leaves, lambda e: F.struct(name(e["path"]).alias("path"), e["value"].alias("value")))
-    return F.when(value.isNotNull(), once(named, _first_of_each_name))
+    start = F.when(F.col(value).isNotNull(), F.array(_entry(F.lit(""), F.col(value))))
+    rows = _expand(rows.withColumn("leaves", start), "leaves", step, levels)
+
+    def named(entry: Column) -> Column:
+        return F.struct(name(entry["path"]).alias("path"), entry["value"].alias("value"))
+
+    return rows.withColumn("leaves", once(F.transform("leaves", named), _first_of_each_name))
 
 
 def _first_of_each_name(entries: Column) -> Column:
@@ -124,7 +132,7 @@ def flattened(landing: DataFrame, levels: int | None = None) -> DataFrame:
     """Landing rows with ``leaves``: every payload value under its column name."""
     depth = nesting_bound(landing) if levels is None else levels
     parsed = landing.withColumn("_value", P.tolerant_payload(F.col("payload")))
-    return parsed.withColumn("leaves", flat_entries(F.col("_value"), depth)).drop("_value")
+    return with_leaves(parsed, "_value", depth).drop("_value")
 
 
 def leaf_rows(rows: DataFrame, *keep: str) -> DataFrame:
@@ -150,7 +158,7 @@ def element_rows(landing: DataFrame) -> DataFrame:
 
 def flattened_elements(landing: DataFrame, mode: str, levels: int | None = None) -> DataFrame:
     depth = nesting_bound(landing) if levels is None else levels
-    return element_rows(landing).withColumn("leaves", flat_entries(F.col("value"), depth, mode)).drop("value")
+    return with_leaves(element_rows(landing), "value", depth, mode).drop("value")
 
 
 # ---- structure signatures -------------------------------------------------------------
@@ -184,15 +192,17 @@ def _without_last(name: Column) -> Column:
     return F.coalesce(F.nullif(F.left(name, F.length(name) - 1), F.lit("")), F.lit("value"))
 
 
-def signature(value: Column, levels: int) -> Column:
-    """Sorted set of the paths and kinds in a payload; equal for payloads of the
-    same structure whatever their values."""
-    states = _expand(F.array(_state(F.lit(""), value, F.lit(False))), _signature_step, levels)
-    names = F.transform(
-        states,
-        lambda s: F.when(s["done"], s["name"]).otherwise(F.concat(_without_last(s["name"]), F.lit(":value"))),
-    )
-    return F.array_sort(F.array_distinct(F.transform(names, lambda n: F.translate(F.lower(n), "-.", "__"))))
+def with_signature(rows: DataFrame, value: str, levels: int) -> DataFrame:
+    """Adds ``keys``, the sorted set of paths and kinds in a payload; equal for
+    payloads of the same structure whatever their values."""
+    rows = rows.withColumn("keys", F.array(_state(F.lit(""), F.col(value), F.lit(False))))
+    rows = _expand(rows, "keys", _signature_step, levels)
+
+    def named(state: Column) -> Column:
+        plain = F.concat(_without_last(state["name"]), F.lit(":value"))
+        return F.translate(F.lower(F.when(state["done"], state["name"]).otherwise(plain)), "-.", "__")
+
+    return rows.withColumn("keys", F.array_sort(F.array_distinct(F.transform("keys", named))))
 
 
 def topic_structures(latest: DataFrame, levels: int | None = None) -> DataFrame:
@@ -201,7 +211,7 @@ def topic_structures(latest: DataFrame, levels: int | None = None) -> DataFrame:
     depth = 2 * (nesting_bound(latest) if levels is None else levels) + 1
     parsed = latest.withColumn("_value", P.first_of_list(P.json_value(F.col("payload"))))
     parsed = parsed.where(F.col("_value").isNotNull())
-    return parsed.select("topic", signature(F.col("_value"), depth).alias("keys")).where(F.size("keys") > 0)
+    return with_signature(parsed, "_value", depth).select("topic", "keys").where(F.size("keys") > 0)
 
 
 def topic_columns(latest: DataFrame, levels: int | None = None) -> DataFrame:
@@ -209,5 +219,6 @@ def topic_columns(latest: DataFrame, levels: int | None = None) -> DataFrame:
     depth = nesting_bound(latest) if levels is None else levels
     parsed = latest.withColumn("_value", P.first_of_list(P.json_value(F.col("payload"))))
     parsed = parsed.where(F.col("_value").isNotNull())
-    paths = F.transform(flat_entries(F.col("_value"), depth, "first"), lambda e: e["path"])
-    return parsed.select("topic", F.array_sort(paths).alias("keys")).where(F.size("keys") > 0)
+    paths = F.transform("leaves", lambda e: e["path"])
+    keyed = with_leaves(parsed, "_value", depth, "first").select("topic", F.array_sort(paths).alias("keys"))
+    return keyed.where(F.size("keys") > 0)

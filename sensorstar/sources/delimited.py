@@ -13,7 +13,8 @@ def write_handoff(df: DataFrame, path: str) -> None:
 
     An empty text is written as ``""`` and so stays distinct from a missing one.
     """
-    df.write.mode("overwrite").option("nullValue", NULL_MARK).csv(path)
+    options = {"nullValue": NULL_MARK, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def read_handoff(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -73,6 +73,15 @@ def test_flatten(spark, text, wanted):
     assert leaves_of(spark, text) == wanted
 
 
+def test_many_brackets_and_deep_text(spark):
+    wide = json.dumps([{"a": i} for i in range(40)])
+    assert leaves_of(spark, wide)["col_39_a"] == "39"
+    deep = '{"a":' * 15 + "1" + "}" * 15
+    assert leaves_of(spark, deep) == {"_".join("a" * 15): "1"}
+    deeper = '{"a":' * 30 + "1" + "}" * 30
+    assert leaves_of(spark, deeper) == {"_".join("a" * 16): '{"a":' * 14 + "1" + "}" * 14}
+
+
 def test_what_is_too_deep_stays_whole(spark):
     assert leaves_of(spark, '{"a":{"b":{"c":1}},"d":2}', levels=2) == {"a_b": '{"c":1}', "d": "2"}
 
