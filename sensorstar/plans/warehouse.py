@@ -64,7 +64,6 @@ class Warehouse:
 
     def create(self) -> "Warehouse":
         """Empty tables, the calendar and the unknown members."""
-        self._empty("control", control.CONTROL_SCHEMA)
         self._empty("runs", control.RUN_SCHEMA)
         minutes = dimensions.calendar(self.spark, self.start, self.end)
         minutes = dimensions.with_unknown(minutes, dimensions.unknown_time(self.spark), "time_key")
@@ -171,9 +170,10 @@ class Warehouse:
 
         counts = pinned(dimensions.member_counts(staged))
         known = self.members(load)
-        fresh = dimensions.new_members(counts, known, ["dimension", "member"])
+        # Numbering reads its input twice; the comparison with all known members runs once.
+        fresh = pinned(dimensions.new_members(counts, known, ["dimension", "member"]).select("dimension", "member"))
         highest = known.where("key > 0").groupBy("dimension").agg(F.max("key").alias("highest_key"))
-        keyed = dimensions.dense_keys(fresh.select("dimension", "member"), highest)
+        keyed = dimensions.dense_keys(fresh, highest)
         member_path = f"{self.path('members')}/load={load}"
         keyed.write.mode("overwrite").partitionBy("dimension").parquet(member_path)
 

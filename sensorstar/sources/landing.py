@@ -44,8 +44,8 @@ def topic_catalogue(landing: DataFrame) -> DataFrame:
 def latest_payloads(landing: DataFrame) -> DataFrame:
     """The newest non-null payload of every topic, in one pass over the lake.
 
-    Each task keeps one row per topic before the shuffle, so a busy topic costs
-    no more there than a quiet one.
+    Each task sorts its own split and keeps one row per topic before the shuffle,
+    so a busy topic costs no more there than a quiet one.
     """
     return (
         landing.where(F.col("payload").isNotNull())
