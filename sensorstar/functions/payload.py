@@ -42,8 +42,11 @@ def double_quoted(text: Column) -> Column:
 
 def looks_like_json(text: Column) -> Column:
     """Starts and ends like an object or like a list."""
-    inner = strip(text)
-    return (inner.startswith("{") & inner.endswith("}")) | (inner.startswith("[") & inner.endswith("]"))
+    return bracketed(strip(text))
+
+
+def bracketed(stripped: Column) -> Column:
+    return (stripped.startswith("{") & stripped.endswith("}")) | (stripped.startswith("[") & stripped.endswith("]"))
 
 
 def only_single_quotes(text: Column) -> Column:

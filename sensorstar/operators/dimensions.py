@@ -71,9 +71,14 @@ def new_members_except(members: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def new_members_not_in(members: DataFrame, known: DataFrame, member: str, known_member: str) -> DataFrame:
-    """The same by ``NOT IN``; the known labels must not be NULL."""
+    """``member NOT IN (known labels)`` for labels that are never NULL.
+
+    Written with ``NOT EXISTS``, which is the same without NULLs: for ``NOT IN``
+    itself Spark would broadcast all known members, however many there are.
+    """
     return members.sparkSession.sql(
-        f"SELECT * FROM {{members}} WHERE {member} NOT IN (SELECT {known_member} FROM {{known}})",
+        f"""SELECT * FROM {{members}} AS m WHERE m.{member} IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM {{known}} AS k WHERE k.{known_member} = m.{member})""",
         members=members,
         known=known,
     )

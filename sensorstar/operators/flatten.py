@@ -38,15 +38,19 @@ def _expand(rows: DataFrame, column: str, step: Callable[[Column], Column], leve
     def level(entry: Column) -> Column:
         return F.when(entry["done"], F.array(entry)).otherwise(step(entry))
 
+    def expanded(entries: Column) -> Column:
+        unfinished = F.exists(entries, lambda entry: ~entry["done"])
+        return F.when(unfinished, F.flatten(F.transform(entries, level))).otherwise(entries)
+
     for _ in range(levels):
-        rows = rows.withColumn(column, F.flatten(F.transform(column, level)))
+        rows = rows.withColumn(column, once(F.col(column), expanded))
     return rows
 
 
 def value_in_text(scalar: Column) -> Column:
     """The JSON value written in a text, single quotes allowed; NULL if none is."""
     return once(
-        strip(P.text_of(scalar)), lambda text: P.json_value(F.when(P.looks_like_json(text), P.double_quoted(text)))
+        strip(P.text_of(scalar)), lambda text: F.when(P.bracketed(text), P.json_value(P.double_quoted(text)))
     )
 
 
@@ -123,8 +127,8 @@ def with_leaves(rows: DataFrame, value: str, levels: int, mode: str = "index") -
 
 def _first_of_each_name(entries: Column) -> Column:
     paths = F.transform(entries, lambda e: e["path"])
-    unique = F.size(F.array_distinct(paths)) == F.size(paths)
-    first = F.filter(entries, lambda e, i: F.array_position(paths, e["path"]) == i + 1)
+    unique = F.size(F.array_distinct(paths)) == F.size(entries)
+    first = once(paths, lambda p: F.filter(entries, lambda e, i: F.array_position(p, e["path"]) == i + 1))
     return F.when(unique, entries).otherwise(first)
 
 

@@ -170,20 +170,21 @@ def staging_rejects(spark, sf_dir):
     return staging.rejects(camera_landing(spark, sf_dir))
 
 
-# ---- dimensions -----------------------------------------------------------------------
+# ---- dimensions, from the staging table --------------------------------------------------
 
 
 def distinct_members(spark, sf_dir):
-    return dimensions.distinct_members(staged(spark, sf_dir))
+    return dimensions.distinct_members(loaded_warehouse(spark, sf_dir).staging())
 
 
 def member_counts(spark, sf_dir):
-    return dimensions.member_counts(staged(spark, sf_dir))
+    return dimensions.member_counts(loaded_warehouse(spark, sf_dir).staging())
 
 
 def _plates(spark, sf_dir):
     """Plates of all messages, and the plates of the first day as known members."""
-    rows = staged(spark, sf_dir).select("original_time", dimensions.natural_key("plate").alias("license_plate"))
+    rows = loaded_warehouse(spark, sf_dir).staging()
+    rows = rows.select("original_time", dimensions.natural_key("plate").alias("license_plate"))
     rows = rows.where("license_plate is not null")
     known = rows.where(F.col("original_time") < FIRST_DAY_END).select("license_plate").distinct()
     return rows.select("license_plate"), known
@@ -210,11 +211,11 @@ def added_members_twice(spark, sf_dir):
 
 
 def dense_keys(spark, sf_dir):
-    return dimensions.dense_keys(dimensions.member_counts(staged(spark, sf_dir)).drop("uses"))
+    return dimensions.dense_keys(member_counts(spark, sf_dir).drop("uses"))
 
 
 def hash_keys(spark, sf_dir):
-    keyed = dimensions.hash_keys(dimensions.member_counts(staged(spark, sf_dir)))
+    keyed = dimensions.hash_keys(member_counts(spark, sf_dir))
     shared = dimensions.hash_collisions(keyed).groupBy("dimension").agg(F.count("*").alias("collisions"))
     return (
         keyed.groupBy("dimension").agg(F.count("*").alias("members")).join(shared, "dimension", "left")
@@ -282,7 +283,7 @@ def reset_and_reload(spark, sf_dir):
 
 
 def without_duplicates(spark, sf_dir):
-    rows = staged(spark, sf_dir).select("landing_id", "city", "velocity", "original_time")
+    rows = loaded_warehouse(spark, sf_dir).staging().select("landing_id", "city", "velocity", "original_time")
     first = rows.withColumn("load_dttm", F.col("original_time"))
     later = rows.where("velocity > 50").withColumn("velocity", F.col("velocity") + 1)
     later = later.withColumn("load_dttm", F.col("original_time") + F.expr("interval 1 day"))
@@ -333,7 +334,7 @@ def time_by_minute(spark, sf_dir):
 
 
 def batch_ranges(spark, sf_dir):
-    return facts.batch_ranges(staged(spark, sf_dir), "landing_id", 1, BATCH)
+    return facts.batch_ranges(loaded_warehouse(spark, sf_dir).staging(), "landing_id", 1, BATCH)
 
 
 def running_fact_keys(spark, sf_dir):
@@ -416,7 +417,7 @@ def append_upsert(spark, sf_dir):
 
 
 def resume_range(spark, sf_dir):
-    rows = staged(spark, sf_dir)
+    rows = loaded_warehouse(spark, sf_dir).staging()
     found = None
     for case, mark, limit in (("first", 0, 1000), ("next", 1000, 1_000_000_000), ("done", 1_000_000_000_000, 1000)):
         one = control.resume_range(rows, mark, limit).withColumn("case", F.lit(case))
@@ -431,7 +432,7 @@ def run_log(spark, sf_dir):
 
 
 def load_progress(spark, sf_dir):
-    rows = facts.with_batch(staged(spark, sf_dir), "landing_id", 1, BATCH)
+    rows = facts.with_batch(loaded_warehouse(spark, sf_dir).staging(), "landing_id", 1, BATCH)
     batches = rows.groupBy(F.lit("load").alias("job"), "batch_no").agg(
         F.count("*").alias("rows"), (F.coalesce(F.sum("velocity"), F.lit(0)) + 1).alias("seconds")
     )
