@@ -171,6 +171,10 @@ def statements() -> dict[str, str]:
             """SELECT topic, path, arg_min(CASE WHEN kind = 'DOUBLE PRECISION' AND type = 'VARCHAR' THEN 'TEXT' ELSE kind END, id) AS type
             FROM typed GROUP BY 1, 2"""
         ),
+        "shared_types": on_leaves(
+            """SELECT "group", path, count(DISTINCT CASE WHEN type IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN 'number'
+            WHEN type <> 'NULL' THEN type END) > 1 AS mixed FROM typed GROUP BY 1, 2"""
+        ),
         "added_columns": on_leaves(
             """SELECT "group", path, coalesce(arg_min(kind, id) FILTER (time < TIMESTAMP '1996-01-01'), arg_min(kind, id)) AS type,
             coalesce(min(id) FILTER (time < TIMESTAMP '1996-01-01'), min(id)) AS first_seen_id FROM typed GROUP BY 1, 2"""

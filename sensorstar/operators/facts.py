@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorstar.functions import numbers, timeparts
 from sensorstar.operators.dimensions import DIMENSION_COLUMNS, natural_key
 from sensorstar.operators.numbering import number_rows
+from sensorstar.session import broadcast_up_to
 
 FACT_SCHEMA = (
     "camera_detection_key long, time_key int, sensor_key long, detection_type_key long, lp_key long, "
@@ -111,8 +112,8 @@ def star_lookup_guarded(staging: DataFrame, members: Mapping[str, DataFrame], un
 def with_time_key_by_parts(rows: DataFrame, calendar: DataFrame, how: str = "left") -> DataFrame:
     """Time lookup on (date, hour, minute).
 
-    The calendar is broadcast: its size is fixed by its date range (one row per
-    minute), whatever the number of facts.
+    The calendar has one row per minute of its date range, whatever the number
+    of facts; it is broadcast while that is small.
     """
     minutes = calendar.where(F.col("time_key") >= 0).select(
         "time_key",
@@ -125,18 +126,18 @@ def with_time_key_by_parts(rows: DataFrame, calendar: DataFrame, how: str = "lef
         (F.to_date(at) == F.col("_day")) & (F.hour(at) == F.col("_hour")) & (F.minute(at) == F.col("_minute"))
     )
     return (
-        rows.join(F.broadcast(minutes), same, how)
+        rows.join(broadcast_up_to(minutes, calendar.count()), same, how)
         .withColumn("time_key", F.coalesce("time_key", F.lit(timeparts.UNKNOWN_KEY)))
         .drop("_day", "_hour", "_minute")
     )
 
 
 def with_time_key_by_minute(rows: DataFrame, calendar: DataFrame, how: str = "left") -> DataFrame:
-    """Time lookup on the time cut to its minute; the calendar is broadcast as above."""
+    """Time lookup on the time cut to its minute; the calendar is joined as above."""
     minutes = calendar.where(F.col("time_key") >= 0).select("time_key", F.col("full_date").alias("_minute"))
     cut = timeparts.truncated(F.col("original_time"), "minute")
     return (
-        rows.join(F.broadcast(minutes), cut == F.col("_minute"), how)
+        rows.join(broadcast_up_to(minutes, calendar.count()), cut == F.col("_minute"), how)
         .withColumn("time_key", F.coalesce("time_key", F.lit(timeparts.UNKNOWN_KEY)))
         .drop("_minute")
     )

@@ -101,9 +101,9 @@ def column_catalogue_plain_text(spark, sf_dir):
 
 
 def shared_types(spark, sf_dir):
-    """Paths whose values do not all have one kind, and the type they share."""
+    """Whether the values of a path share a type or need a VARIANT column."""
     kinds = _leaves(spark, sf_dir).withColumn("group", text.logical_topic(F.col("topic"), 1))
-    return discovery.safe_types(kinds, "group")
+    return discovery.safe_types(kinds, "group").select("group", "path", (F.col("type") == "VARIANT").alias("mixed"))
 
 
 def added_columns(spark, sf_dir):

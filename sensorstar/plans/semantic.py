@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from sensorstar.functions import timeparts
 from sensorstar.operators.dimensions import DIMENSION_COLUMNS
 from sensorstar.plans.warehouse import Warehouse
+from sensorstar.session import broadcast_up_to
 
 
 @dataclass(frozen=True)
@@ -90,6 +91,8 @@ class Cube:
     measures: Mapping[str, Measure] = field(default_factory=dict)
     dimensions: Mapping[str, Dimension] = field(default_factory=dict)
     hierarchies: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    # Rows of a table where they are known without counting.
+    known_rows: Mapping[str, int] = field(default_factory=dict)
 
     # ---- queries --------------------------------------------------------------
 
@@ -137,7 +140,7 @@ class Cube:
         """The fact rows behind a group, with the named members."""
         rows = self._filtered(self.fact(), filters)
         for table in self._tables(members):
-            rows = self._join(rows, table, members, "left")
+            rows = self._join(rows, table, members, "left", every_fact=True)
         columns = [F.expr(self.dimensions[m].sql).alias(m) if self.dimensions[m].table is None else F.col(m) for m in members]
         return rows.select(*columns)
 
@@ -188,7 +191,20 @@ class Cube:
     def _tables(self, members: Sequence[str]) -> list[str]:
         return list(dict.fromkeys(t for t in (self.dimensions[m].table for m in members) if t))
 
-    def _join(self, rows: DataFrame, table: str, members: Sequence[str], how: str, grain: str | None = None) -> DataFrame:
+    def _sized(self, rows: DataFrame, table: str) -> DataFrame:
+        """A side that meets every fact: broadcast when its rows are known to be
+        few, else left to the planner, which goes by file size."""
+        return broadcast_up_to(rows, self.known_rows[table]) if table in self.known_rows else rows
+
+    def _join(
+        self,
+        rows: DataFrame,
+        table: str,
+        members: Sequence[str],
+        how: str,
+        grain: str | None = None,
+        every_fact: bool = False,
+    ) -> DataFrame:
         join = self.joins[table]
         chosen = [self.dimensions[m] for m in dict.fromkeys(members) if self.dimensions[m].table == table]
         labels = []
@@ -202,7 +218,7 @@ class Cube:
             same = F.col(join.fact_key).cast("string") == F.col("_key").cast("string")
         else:
             same = F.col(join.fact_key) == F.col("_key")
-        return rows.join(right, same, how).drop("_key")
+        return rows.join(self._sized(right, table) if every_fact else right, same, how).drop("_key")
 
     def _filtered(self, rows: DataFrame, filters: Sequence[Filter]) -> DataFrame:
         for f in filters:
@@ -215,7 +231,7 @@ class Cube:
             for f in filters:
                 if self.dimensions[f.member].table == table:
                     kept = kept.where(f.condition(F.expr(self.dimensions[f.member].sql)))
-            kept = kept.select(F.col(join.dimension_key).alias("_key"))
+            kept = self._sized(kept.select(F.col(join.dimension_key).alias("_key")), table)
             rows = rows.join(kept, F.col(join.fact_key) == F.col("_key"), "left_semi")
         return rows
 
@@ -371,6 +387,7 @@ def camera_cube(warehouse: Warehouse) -> Cube:
         measures={m.name: m for m in MEASURES},
         dimensions={d.name: d for d in DIMENSIONS},
         hierarchies=HIERARCHIES,
+        known_rows={"calendar": warehouse.calendar_rows()},
     )
 
 

@@ -114,6 +114,9 @@ class Warehouse:
             self._frames["calendar", 0] = rows
         return self._frames["calendar", 0]
 
+    def calendar_rows(self) -> int:
+        return (self.end - self.start).days * timeparts.MINUTES_PER_DAY + 1
+
     def staging(self, through: int | None = None) -> DataFrame:
         return self._read("staging", staging.STAGING_SCHEMA, self.loads() if through is None else through)
 
@@ -138,10 +141,17 @@ class Warehouse:
 
     # ---- loading ------------------------------------------------------------
 
-    def load(self, landing: DataFrame, topic_pattern: str) -> LoadReport:
-        """Load the messages of a topic pattern that came since its last load."""
+    def load(self, landing: DataFrame, topic_pattern: str, up_to_id: int | None = None) -> LoadReport:
+        """Load the messages of a topic pattern that came since its last load,
+        all of them or those up to an id."""
         mark = control.high_water_mark(self.control(), topic_pattern).first()[0]
-        return self.load_messages(incremental_scan(landing, topic_pattern, mark), topic_pattern, self.loads())
+        messages = incremental_scan(landing, topic_pattern, mark)
+        if up_to_id is not None:
+            messages = messages.where(F.col("id") <= up_to_id)
+        if messages.isEmpty():
+            self._log(str(uuid.uuid4()), topic_pattern, "SUCCESS", 0, None)
+            return LoadReport(self.loads(), 0, 0, 0, mark)
+        return self.load_messages(messages, topic_pattern, self.loads())
 
     def load_messages(self, messages: DataFrame, topic: str, load: int) -> LoadReport:
         """Load number ``load``; a number that is done already is skipped."""

@@ -71,3 +71,13 @@ def literal_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFra
         for row in rows
     ]
     return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+# A table of at most this many narrow rows fits in every executor.
+BROADCAST_ROWS = 4_000_000
+
+
+def broadcast_up_to(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``limit`` rows; beyond
+    that the planner shuffles both sides of the join."""
+    return F.broadcast(df) if rows <= limit else df

@@ -39,10 +39,11 @@ def test_rows_are_kept(whole, spark, sf_dir):
 def test_two_steps_equal_one(whole, spark, sf_dir):
     warehouse = new_warehouse(spark, "steps")
     messages = camera_landing(spark, sf_dir)
-    first = warehouse.load(messages.where("id <= 400"), ALL_TOPICS)
+    first = warehouse.load(messages, ALL_TOPICS, up_to_id=400)
     second = warehouse.load(messages, ALL_TOPICS)
     again = warehouse.load(messages, ALL_TOPICS)
     assert (first.staged, again.staged, again.new_members) == (400, 0, 0)
+    assert warehouse.loads() == 2
     assert first.staged + second.staged == messages.count()
     assert labelled(warehouse) == labelled(whole)
     members = warehouse.members()
@@ -164,6 +165,18 @@ def test_time_filter_skips_weeks(whole):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_large_calendars_are_not_broadcast(whole):
+    cube = semantic.camera_cube(whole)
+    assert "BroadcastHashJoin" in plan(cube.details(["id", "hour"]))
+    cube.known_rows = {"calendar": 10**9}
+    limit = whole.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    whole.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1kb")
+    try:
+        assert "SortMergeJoin" in plan(cube.details(["id", "hour"]))
+    finally:
+        whole.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_only_named_dimensions_are_joined(whole):
     text = plan(semantic.camera_cube(whole).query(["avg_velocity"], ["vehicle_class"], how="inner"))
     assert text.count("FileScan") == 2
