@@ -126,7 +126,7 @@ DECODED = """CASE WHEN doc_id % 3 = 0 THEN text
   ELSE chr(129) || 'è' || regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') END"""
 
 WIDE = """SELECT l.id, any_value(l.time) AS time, any_value(l.topic) AS topic,
-  max(CASE WHEN path = 'level' THEN number END) AS level, max(CASE WHEN path = 'battery' THEN number END) AS battery,
+  CAST(max(CASE WHEN path = 'level' THEN number END) AS BIGINT) AS level, max(CASE WHEN path = 'battery' THEN number END) AS battery,
   max(CASE WHEN path = 'state' THEN text END) AS state, max(CASE WHEN path = 'extra' THEN text END) AS extra,
   max(CASE WHEN path = 'raw_value' THEN text END) AS raw_value
   FROM landing l JOIN (SELECT t.id, t.path, t.text, CASE WHEN g.type = 'BIGINT' THEN round_even(TRY_CAST(t.text AS DOUBLE), 0)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sensorstar.operators.dimensions import latest_per_key
 from sensorstar.operators.numbering import running_total
+from sensorstar.session import broadcast_counted
 
 CONTROL_SCHEMA = (
     "topic string, process_step int, last_loaded_id long, full_load_done boolean, last_update timestamp"
@@ -87,7 +88,7 @@ def progress(batches: DataFrame) -> DataFrame:
     done = running_total(batches, ["job"], ["batch_no"], "rows", "rows_so_far")
     spent = running_total(batches.select("job", "batch_no", "seconds"), ["job"], ["batch_no"], "seconds", "seconds_so_far")
     totals = batches.groupBy("job").agg(F.sum("rows").alias("_total"))
-    both = done.join(spent.select("job", "batch_no", "seconds_so_far"), ["job", "batch_no"]).join(totals, "job")
+    both = done.join(spent.select("job", "batch_no", "seconds_so_far"), ["job", "batch_no"]).join(broadcast_counted(totals), "job")
     rate = F.col("rows_so_far") / F.col("seconds_so_far")
     return both.select(
         "job",

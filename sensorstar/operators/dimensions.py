@@ -95,8 +95,9 @@ def dense_keys(members: DataFrame, highest: DataFrame | None = None) -> DataFram
     numbered = number_rows_within(members, ["dimension"], ["member"], "key")
     if highest is None:
         return numbered
+    # one row per dimension
     return (
-        numbered.join(highest, "dimension", "left")
+        numbered.join(F.broadcast(highest), "dimension", "left")
         .withColumn("key", F.col("key") + F.coalesce("highest_key", F.lit(0)))
         .drop("highest_key")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorstar.functions import numbers
 from sensorstar.functions import payload as P
+from sensorstar.session import broadcast_counted, pinned
 
 # Dates and times in ISO form (calendar or week dates).
 ISO_TIME = (
@@ -120,7 +121,10 @@ def conformed(value: Column, column_type_name: str) -> Column:
 def conform_leaves(leaves: DataFrame, columns: DataFrame, group: str = "topic") -> DataFrame:
     """Leaves beside their column's type: the number of numeric columns, the text
     of the others, and whether the value had to be dropped."""
-    typed = leaves.join(columns.select(group, "path", "type"), [group, "path"])
+    # The catalogue is small and joined to every leaf; a shuffle by path would
+    # put all leaves of a common path into one task.
+    known = pinned(columns.select(group, "path", "type"))
+    typed = leaves.join(broadcast_counted(known), [group, "path"])
     numeric = F.col("type").isin("BIGINT", "DOUBLE PRECISION")
     number = F.when(F.col("type") == "BIGINT", conformed(F.col("value"), "BIGINT").cast("double")).otherwise(
         as_number(F.col("value"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorstar.operators.numbering import running_total
+from sensorstar.session import broadcast_counted
 
 GROUP = ["database", "concurrency"]
 # The 95th percentile is cut 19 of 20 quantiles.
@@ -31,7 +32,7 @@ def exclusive_p95(latencies: DataFrame) -> DataFrame:
     bounds = totals.select(*GROUP, low.alias("low"), (position - low * QUANTILES).alias("rest"))
     at_low = F.min(F.when(F.col("through") >= F.col("low"), F.col("latency")))
     at_next = F.min(F.when(F.col("through") >= F.col("low") + 1, F.col("latency")))
-    found = placed.join(bounds, GROUP).groupBy(*GROUP, "rest").agg(at_low.alias("d0"), at_next.alias("d1"))
+    found = placed.join(broadcast_counted(bounds), GROUP).groupBy(*GROUP, "rest").agg(at_low.alias("d0"), at_next.alias("d1"))
     between = (F.col("d0") * (QUANTILES - F.col("rest")) + F.col("d1") * F.col("rest")) / QUANTILES
     return found.select(*GROUP, F.coalesce(between, "d0").alias("p95"))
 

@@ -12,14 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorstar.session import pinned
+from sensorstar.session import broadcast_counted, pinned
 
 # monotonically_increasing_id() keeps the row position in its lower 33 bits.
 _ROW_BITS = 33
 
 
 def number_rows(df: DataFrame, order: Sequence[str], number: str) -> DataFrame:
-    """``row_number() over (order by …)`` for any number of rows."""
+    """``row_number() over (order by …)`` for any number of rows. ``order`` should
+    be unique: rows that are equal in it share a partition."""
     fixed = pinned(df.repartitionByRange(*order).sortWithinPartitions(*order))
     offsets = (
         fixed.groupBy(F.spark_partition_id().alias("_part"))
@@ -42,7 +43,7 @@ def number_rows_within(df: DataFrame, groups: Sequence[str], order: Sequence[str
     that holds most rows: it spreads over partitions like any other range."""
     numbered = number_rows(df, [*groups, *order], number)
     first = numbered.groupBy(*groups).agg(F.min(number).alias("_first"))
-    return numbered.join(first, list(groups)).withColumn(number, F.col(number) - F.col("_first") + 1).drop("_first")
+    return numbered.join(broadcast_counted(first), list(groups)).withColumn(number, F.col(number) - F.col("_first") + 1).drop("_first")
 
 
 def running_total(df: DataFrame, groups: Sequence[str], order: Sequence[str], amount: str, total: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorstar.operators.numbering import number_rows
-from sensorstar.session import pinned
+from sensorstar.session import broadcast_counted, pinned
 
 # Keeps a rounding error from raising a bound that is a whole number.
 _EPSILON = 1e-9
@@ -38,7 +38,7 @@ def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
     keys = sized.select("set_id", "size", F.explode("keys").alias("key"))
     uses = keys.groupBy("key").agg(F.count("*").alias("uses"))
     ordered = (
-        keys.join(uses, "key")
+        keys.join(broadcast_counted(uses), "key")
         .groupBy("set_id", "size")
         .agg(F.array_sort(F.collect_list(F.struct("uses", "key"))).alias("ranked"))
     )

@@ -39,7 +39,7 @@ class LoadReport:
 
 
 class Warehouse:
-    """Tables under ``root``, a folder all executors share."""
+    """Tables under ``root``, a folder all executors share. One writer at a time."""
 
     def __init__(
         self,

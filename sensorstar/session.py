@@ -81,3 +81,8 @@ def broadcast_up_to(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> Da
     """``df`` marked for broadcast when it has at most ``limit`` rows; beyond
     that the planner shuffles both sides of the join."""
     return F.broadcast(df) if rows <= limit else df
+
+
+def broadcast_counted(df: DataFrame) -> DataFrame:
+    """The same for a table whose rows have to be counted first."""
+    return broadcast_up_to(df, df.count())

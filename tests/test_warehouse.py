@@ -218,3 +218,22 @@ def test_filters(whole):
         cube.query(["detections"], filters=[Filter("velocity", op, 50)]).first()[0] for op in ("lte", "gt")
     ] + [cube.query(["detections"], filters=[Filter("velocity", "not_set")]).first()[0]]
     assert sum(split) == total
+
+
+def test_fact_files_are_sorted_by_time_and_sensor(whole, spark):
+    rows = spark.read.parquet(whole.path("facts")).select(F.input_file_name().alias("file"), "time_key", "sensor_key")
+    order = {}
+    for r in rows.collect():
+        order.setdefault(r["file"], []).append((r["time_key"], r["sensor_key"]))
+    assert len(order) >= 5 and all(keys == sorted(keys) for keys in order.values())
+
+
+def test_dump_import(spark):
+    from sensorstar.sources.landing import import_dump
+
+    path = scratch(spark, "dump")
+    lines = ["id,created,amount", "1,2024-01-02 03:04:05,1.255", "2,0000-00-00 00:00:00,n/a", "3,\\N,7"]
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
+    rows = import_dump(spark, path, "id long, created string, amount string", ["created"], ["amount"])
+    found = [(r["id"], str(r["created"]), str(r["amount"])) for r in rows.orderBy("id").collect()]
+    assert found == [(1, "2024-01-02 03:04:05", "1.26"), (2, "None", "None"), (3, "None", "7.00")]
