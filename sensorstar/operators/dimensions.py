@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sensorstar.functions import timeparts
 from sensorstar.operators.numbering import number_rows_within
 from sensorstar.plans.profiles import CANON, Profile
-from sensorstar.session import literal_rows
+from sensorstar.session import literal, literal_rows
 
 # dimension -> staging column that holds its natural key
 NATURAL_KEYS = {
@@ -151,7 +151,7 @@ def calendar(
     ``weekdays`` is ``iso`` (1 = Monday) or ``sunday`` (1 = Sunday).
     """
     minutes = spark.range((end - start).days * timeparts.MINUTES_PER_DAY)
-    full_date = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz") + F.make_dt_interval(
+    full_date = literal(dt.datetime.combine(start, dt.time())) + F.make_dt_interval(
         mins=F.col("id").cast("int")
     )
     dated = minutes.select(F.col("id"), full_date.alias("full_date"))

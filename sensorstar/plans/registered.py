@@ -19,7 +19,7 @@ from sensorstar.plans import analytics, semantic
 from sensorstar.plans.profiles import CLICKHOUSE
 from sensorstar.plans.semantic import Filter
 from sensorstar.plans.warehouse import Warehouse
-from sensorstar.session import pinned, prepare, shared_folder
+from sensorstar.session import literal, pinned, prepare, shared_folder
 from sensorstar.sources import delimited, landing
 from sensorstar.sources.sample_landing import camera_landing, table
 from sensorstar.streaming.incremental import stream_load
@@ -186,7 +186,7 @@ def _plates(spark, sf_dir):
     rows = loaded_warehouse(spark, sf_dir).staging()
     rows = rows.select("original_time", dimensions.natural_key("plate").alias("license_plate"))
     rows = rows.where("license_plate is not null")
-    known = rows.where(F.col("original_time") < FIRST_DAY_END).select("license_plate").distinct()
+    known = rows.where(F.col("original_time") < literal(FIRST_DAY_END)).select("license_plate").distinct()
     return rows.select("license_plate"), known
 
 
@@ -400,7 +400,7 @@ def high_water_marks(spark, sf_dir):
 
 def _old_and_new(spark, sf_dir):
     history = mark_history(spark, sf_dir)
-    border = F.lit(dt.datetime(2024, 1, 10))
+    border = literal(dt.datetime(2024, 1, 10))
     return history.where(F.col("last_update") < border), history.where(F.col("last_update") >= border)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorstar.functions import payload, text
 from sensorstar.operators import discovery, flatten, grouping, latency, similarity
 from sensorstar.plans.registered import Query, scratch
+from sensorstar.session import literal
 from sensorstar.sources import delimited, landing
 from sensorstar.sources.sample_landing import sensor_landing, table
 
@@ -109,8 +110,8 @@ def shared_types(spark, sf_dir):
 def added_columns(spark, sf_dir):
     """Columns that messages from 1996 on add to those known before."""
     leaves = _leaves(spark, sf_dir).withColumn("group", text.logical_topic(F.col("topic"), 1))
-    known = discovery.catalogue(leaves.where(F.col("time") < KNOWN_UNTIL), "group")
-    later = discovery.catalogue(leaves.where(F.col("time") >= KNOWN_UNTIL), "group")
+    known = discovery.catalogue(leaves.where(F.col("time") < literal(KNOWN_UNTIL)), "group")
+    later = discovery.catalogue(leaves.where(F.col("time") >= literal(KNOWN_UNTIL)), "group")
     return discovery.evolved(known, later, "group").select("group", "path", "type", "first_seen_id")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from sensorstar.functions import timeparts
 from sensorstar.operators.dimensions import DIMENSION_COLUMNS
 from sensorstar.plans.warehouse import Warehouse
-from sensorstar.session import broadcast_up_to
+from sensorstar.session import broadcast_up_to, literal
 
 
 @dataclass(frozen=True)
@@ -65,13 +65,13 @@ class Filter:
 
     def condition(self, column: Column) -> Column:
         tests: dict[str, Callable[[], Column]] = {
-            "equals": lambda: column == self.value,
-            "not_equals": lambda: column != self.value,
-            "in": lambda: column.isin(*self.value),
-            "gt": lambda: column > self.value,
-            "gte": lambda: column >= self.value,
-            "lt": lambda: column < self.value,
-            "lte": lambda: column <= self.value,
+            "equals": lambda: column == literal(self.value),
+            "not_equals": lambda: column != literal(self.value),
+            "in": lambda: column.isin(*[literal(v) for v in self.value]),
+            "gt": lambda: column > literal(self.value),
+            "gte": lambda: column >= literal(self.value),
+            "lt": lambda: column < literal(self.value),
+            "lte": lambda: column <= literal(self.value),
             "set": column.isNotNull,
             "not_set": column.isNull,
         }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -59,6 +60,13 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def literal(value: object) -> Column:
+    """A literal; a time without a zone stays without one in any session."""
+    if isinstance(value, dt.datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def literal_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
     """A few rows known to the driver, as SQL literals: no Python worker starts."""
     fields = [part.split() for part in schema.split(", ")]
@@ -67,7 +75,7 @@ def literal_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFra
     if not rows:
         return empty.where(F.lit(False))
     structs = [
-        F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields, strict=True)])
+        F.struct(*[literal(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields, strict=True)])
         for row in rows
     ]
     return spark.range(1).select(F.inline(F.array(*structs)))

@@ -237,3 +237,21 @@ def test_dump_import(spark):
     rows = import_dump(spark, path, "id long, created string, amount string", ["created"], ["amount"])
     found = [(r["id"], str(r["created"]), str(r["amount"])) for r in rows.orderBy("id").collect()]
     assert found == [(1, "2024-01-02 03:04:05", "1.26"), (2, "None", "None"), (3, "None", "7.00")]
+
+
+def test_results_do_not_depend_on_the_session_zone(whole, spark):
+    window = semantic.between(dt.datetime(2024, 1, 9), dt.datetime(2024, 1, 12, 12))
+
+    def asked():
+        warehouse = Warehouse(spark, whole.root)
+        found = semantic.camera_cube(warehouse).query(["detections"], ["full_date", "weekday"], window, grain="hour")
+        first = dimensions.calendar(spark, dt.date(2024, 3, 31), dt.date(2024, 4, 1))
+        return sorted(map(tuple, found.collect())), first.agg(F.min("full_date"), F.max("hour_num"), F.count("*")).first()
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    wanted = asked()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert asked() == wanted
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
