@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorstar.llm.bpe import count_tokens, encode_decode, read_tokenizer
 from sensorstar.llm.common import table
 from sensorstar.llm.minhash import near_duplicates
+from sensorstar.llm.secret_scan import scan_secrets, span_digests
+
+
+def op5_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents."""
+    return count_tokens(table(spark, sf_dir, "documents"), read_tokenizer(public_tokenizers.path("word_bpe_49k.json")))
 
 
 def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +23,20 @@ def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the tokens of all documents, and of what they decode to."""
+    tokenizer = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer, public_tokenizers.PATTERN, with_ids=False)
+
+
+def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, as counts and digests."""
+    return span_digests(scan_secrets(table(spark, sf_dir, "documents")))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op6_circulant_minhash,)}
+    queries = (op5_heap_token_counts, op6_circulant_minhash, op8_backtracking_bpe, op10_secret_automaton)
+    return {query.__name__: query for query in queries}
 
 
 def llm_oracles() -> dict[str, str]:
