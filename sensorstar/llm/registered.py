@@ -11,6 +11,12 @@ from sensorstar.llm.bpe import count_tokens, encode_decode, read_tokenizer
 from sensorstar.llm.common import table
 from sensorstar.llm.minhash import near_duplicates
 from sensorstar.llm.secret_scan import scan_secrets, span_digests
+from sensorstar.llm.toxicity import toxicity
+
+
+def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels outside the held-out fold."""
+    return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op5_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +41,13 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    queries = (op5_heap_token_counts, op6_circulant_minhash, op8_backtracking_bpe, op10_secret_automaton)
+    queries = (
+        op2_counterfactual_toxicity,
+        op5_heap_token_counts,
+        op6_circulant_minhash,
+        op8_backtracking_bpe,
+        op10_secret_automaton,
+    )
     return {query.__name__: query for query in queries}
 
 
