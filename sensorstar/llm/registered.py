@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensorstar.llm.bpe import count_tokens, encode_decode, read_tokenizer
 from sensorstar.llm.common import table
+from sensorstar.llm.html_paths import extract_pages
 from sensorstar.llm.minhash import near_duplicates
 from sensorstar.llm.secret_scan import scan_secrets, span_digests
 from sensorstar.llm.toxicity import toxicity
@@ -19,6 +20,11 @@ def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents."""
     return count_tokens(table(spark, sf_dir, "documents"), read_tokenizer(public_tokenizers.path("word_bpe_49k.json")))
@@ -43,6 +49,7 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     queries = (
         op2_counterfactual_toxicity,
+        op4_tag_path_ratios,
         op5_heap_token_counts,
         op6_circulant_minhash,
         op8_backtracking_bpe,
