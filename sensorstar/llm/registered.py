@@ -11,6 +11,7 @@ from sensorstar.llm.bpe import count_tokens, encode_decode, read_tokenizer
 from sensorstar.llm.common import table
 from sensorstar.llm.html_paths import extract_pages
 from sensorstar.llm.minhash import near_duplicates
+from sensorstar.llm.mtree import embedding_top_k
 from sensorstar.llm.secret_scan import scan_secrets, span_digests
 from sensorstar.llm.toxicity import toxicity
 
@@ -35,6 +36,11 @@ def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best inner products of every twentieth vector with all vectors."""
+    return embedding_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op8_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the tokens of all documents, and of what they decode to."""
     tokenizer = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
@@ -52,11 +58,24 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_tag_path_ratios,
         op5_heap_token_counts,
         op6_circulant_minhash,
+        op7_mtree_top_k,
         op8_backtracking_bpe,
         op10_secret_automaton,
     )
     return {query.__name__: query for query in queries}
 
 
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT q.vec_id AS query_id,
+  CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id) AS INT) AS rank,
+  c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 QUALIFY rank <= 20
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op7_mtree_top_k": TOP_K}
