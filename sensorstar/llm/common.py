@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorstar.session import shared_folder
+from sensorstar.session import broadcast_up_to, shared_folder
 
 # Rows and bytes of one Arrow batch: texts may be very long.
 BATCH_ROWS = 1000
@@ -55,6 +55,26 @@ def by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Rec
     return df.mapInArrow(run, schema)
 
 
+def rows_by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
+    """The same with the columns ``df`` has: batches lose rows or change values."""
+    small_batches(df.sparkSession)
+    schema = df.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = make()
+        for batch in batches:
+            yield function(batch)
+
+    return df.mapInArrow(run, schema)
+
+
+def without_ids(df: DataFrame, ids: DataFrame, limit: int) -> DataFrame:
+    """``df`` without the rows whose ``doc_id`` is among ``ids``: sent to every task if
+    they are at most ``limit``, else joined by a shuffle."""
+    ids = stored(ids.select("doc_id").distinct())
+    return df.join(broadcast_up_to(ids, ids.count(), limit), "doc_id", "left_anti").select(df.columns)
+
+
 class WordHashes(dict):
     """64-bit hashes of words as bytes, remembered up to a bound."""
 

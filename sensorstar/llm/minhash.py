@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorstar.llm.common import SIMILAR_PERCENT, WordHashes, by_batch, mixed, shingle_hashes, stored
+from sensorstar.llm.common import SIMILAR_PERCENT, WordHashes, by_batch, mixed, shingle_hashes, stored, without_ids
 from sensorstar.llm.components import components
 from sensorstar.session import broadcast_up_to
 
@@ -213,3 +213,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return sketched.join(labels, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
     )
+
+
+def without_near_duplicates(documents: DataFrame) -> DataFrame:
+    """One document of each group, the one with the smallest id, with all columns. Of
+    rows that repeat an id one stays; rows without an id all stay."""
+    found = stored(near_duplicates(documents))
+    rest = without_ids(documents, found.where(~F.col("kept")), BROADCAST_IDS)
+    repeated = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    n_repeated = repeated.count()
+    if not n_repeated:
+        return rest
+    again = rest.join(broadcast_up_to(repeated, n_repeated, BROADCAST_IDS), "doc_id", "left_semi").select(documents.columns)
+    return without_ids(rest, repeated, BROADCAST_IDS).union(again.dropDuplicates(["doc_id"]))

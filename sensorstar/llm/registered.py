@@ -9,18 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensorstar.llm.bpe import count_tokens, encode_decode, read_tokenizer
 from sensorstar.llm.common import table
+from sensorstar.llm.decontaminate import ORACLE as CONTAMINATED
+from sensorstar.llm.decontaminate import contaminated
 from sensorstar.llm.html_paths import extract_pages
+from sensorstar.llm.license_scan import scan_licenses
 from sensorstar.llm.minhash import near_duplicates
 from sensorstar.llm.mtree import embedding_top_k
 from sensorstar.llm.secret_scan import scan_secrets, span_digests
+from sensorstar.llm.tool_calls import conversation_calls
 from sensorstar.llm.toxicity import toxicity
 
 
+def op1_dictionary_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences in all documents."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from labels outside the held-out fold."""
     return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_containment_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return extract_pages(table(spark, sf_dir, "pages"))
@@ -47,6 +61,11 @@ def op8_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op9_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of all conversations as linked, ordered and checked tool calls."""
+    return conversation_calls(table(spark, sf_dir, "conversations"))
+
+
 def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents, as counts and digests."""
     return span_digests(scan_secrets(table(spark, sf_dir, "documents")))
@@ -54,12 +73,15 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     queries = (
+        op1_dictionary_licenses,
         op2_counterfactual_toxicity,
+        op3_containment_decontamination,
         op4_tag_path_ratios,
         op5_heap_token_counts,
         op6_circulant_minhash,
         op7_mtree_top_k,
         op8_backtracking_bpe,
+        op9_tool_call_links,
         op10_secret_automaton,
     )
     return {query.__name__: query for query in queries}
@@ -78,4 +100,4 @@ FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 QUALIFY rank <
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op7_mtree_top_k": TOP_K}
+    return {"op3_containment_decontamination": CONTAMINATED, "op7_mtree_top_k": TOP_K}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorstar.llm.automaton import Automaton
-from sensorstar.llm.common import by_batch
+from sensorstar.llm.common import by_batch, rows_by_batch
 
 
 @dataclass(frozen=True)
@@ -208,6 +208,31 @@ def scan_secrets(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataF
     return by_batch(source, make, f"doc_id {id_type}, spans array<struct<start:bigint,end:bigint,kind:string>>, masked string")
 
 
+def mask_secrets(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """All rows and columns of ``documents``, with secrets masked in ``text`` and
+    ``n_chars`` (if there is one) counted anew where the text has changed."""
+
+    def make():
+        scan = scanner(rules)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            columns, names = list(batch.columns), batch.schema.names
+            place = names.index("text")
+            texts = columns[place].to_pylist()
+            spans = [text_spans(t or "", scan) for t in texts]
+            hidden = [masked(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
+            columns[place] = pa.array(hidden, columns[place].type)
+            if "n_chars" in names:
+                at = names.index("n_chars")
+                sizes = [len(t) if s else n for t, s, n in zip(hidden, spans, columns[at].to_pylist(), strict=True)]
+                columns[at] = pa.array(sizes, columns[at].type)
+            return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+        return run
+
+    return rows_by_batch(documents, make)
+
+
 def span_digests(scanned: DataFrame) -> DataFrame:
     """Counts and digests of the base kinds, and all spans as one text."""
 

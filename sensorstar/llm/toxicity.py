@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorstar.llm.common import by_batch
+from sensorstar.llm.common import by_batch, rows_by_batch
 
 # Bounds of the fit: labelled texts of each class, features by their strength.
 PER_CLASS = 6000
@@ -261,5 +261,22 @@ def score_documents(documents: DataFrame, model: Model) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``documents`` whose text scores below one half, with all columns."""
+    weights, bias = model.weights, model.bias
+
+    def make():
+        own = Model(weights, bias)
+        known = own.known()
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            return batch.filter(pa.array([own.score(t, known) < 0.5 for t in texts], pa.bool_()))
+
+        return run
+
+    return rows_by_batch(documents, make)
+
+
 def toxicity(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> DataFrame:
     return score_documents(documents, fit(documents, labels))
