@@ -34,6 +34,17 @@ SPARK_TYPES = {
 _CODES = 8
 
 
+def real_date(text: Column) -> Column:
+    """Whether the date that a text in ISO form starts with exists: day of the month,
+    week of the year (53 only where the year has it), year from 1 on."""
+    year, rest = F.left(text, F.lit(4)), F.replace(F.substring(text, 5, 10), F.lit("-"))
+    week = F.substring(rest, 2, 2).try_cast("int")
+    weeks = F.weekofyear(F.concat(year, F.lit("-12-28")).try_cast("date"))
+    day = F.concat_ws("-", year, F.substring(rest, 1, 2), F.substring(rest, 3, 2)).try_cast("date")
+    exists = F.when(rest.startswith("W"), week <= weeks).otherwise(day.isNotNull())
+    return F.coalesce((year != "0000") & exists, F.lit(False))
+
+
 def column_type(value: Column, numeric_text: bool = True) -> Column:
     """The column type a value asks for. A missing value asks for text.
 
@@ -46,7 +57,7 @@ def column_type(value: Column, numeric_text: bool = True) -> Column:
         .when((kind == "BIGINT") | whole, F.lit("BIGINT"))
         .when(kind.isin("DECIMAL", "DOUBLE", "FLOAT"), F.lit("DOUBLE PRECISION"))
         .when(kind.isin("OBJECT", "ARRAY"), F.lit("JSONB"))
-        .when(text.rlike(ISO_TIME), F.lit("TIMESTAMPTZ"))
+        .when(text.rlike(ISO_TIME) & real_date(text), F.lit("TIMESTAMPTZ"))
     )
     if numeric_text:
         found = found.when(text.rlike(DIGITS), F.lit("DOUBLE PRECISION"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -55,10 +56,16 @@ def salted_lookup(
 
 
 def star_lookup(
-    staging: DataFrame, members: Mapping[str, DataFrame], hot_plates: DataFrame, unknown_key: int = -1
+    staging: DataFrame,
+    members: Mapping[str, DataFrame],
+    hot_plates: DataFrame,
+    unknown_key: int = -1,
+    start: dt.date = timeparts.CALENDAR_START,
+    end: dt.date = timeparts.CALENDAR_END,
 ) -> DataFrame:
     """Fact rows: every staging row with its seven keys; a missing member gets
-    the unknown key. The minute key is arithmetic and needs no join."""
+    the unknown key. The minute key is arithmetic over the calendar's range and
+    needs no join."""
     rows = staging
     for name, key in KEY_COLUMNS.items():
         if name == "plate":
@@ -69,7 +76,7 @@ def star_lookup(
     keys = [F.coalesce(F.col(k), F.lit(unknown_key).cast("long")).alias(k) for k in KEY_COLUMNS.values()]
     return rows.select(
         F.col("landing_id").alias("camera_detection_key"),
-        timeparts.time_key(F.col("original_time")).alias("time_key"),
+        timeparts.time_key(F.col("original_time"), start, end).alias("time_key"),
         *keys,
         F.col("velocity").cast("double").alias("velocity"),
         F.col("original_time").alias("detection_time"),

@@ -15,15 +15,39 @@ from pyspark.sql import functions as F
 from sensorstar.functions import payload as P
 from sensorstar.functions.text import column_name, leading_letter, legacy_column_name, once, strip
 
-# Containers nested deeper than this stay whole, as one leaf with JSON text.
-DEEPEST = 16
+# Levels that a payload takes besides its nesting: text that is not JSON is first
+# wrapped as ``raw_value``, and the scalars inside the last container are read.
+_WRAPPED = 2
+
+
+def nesting(payload: Column) -> Column:
+    """How deep a text nests at most: its own brackets, plus all opening brackets of
+    one of its strings (a string may hold JSON again). A text that ends inside a
+    string may be no JSON; all its opening brackets count."""
+    escapes_gone = F.regexp_replace(payload, r"\\.", "")
+    signs = F.filter(F.split(F.regexp_replace(escapes_gone, r'[^\[\]{}"]', ""), ""), lambda sign: sign != "")
+    opening = F.length(payload) - F.length(F.translate(payload, "{[", ""))
+
+    def state(depth: Column, most: Column, inside: Column, text: Column) -> Column:
+        return F.struct(depth.alias("depth"), most.alias("most"), inside.alias("inside"), text.alias("text"))
+
+    def step(s: Column, sign: Column) -> Column:
+        opens = sign.isin("{", "[")
+        quote = sign == '"'
+        outside = ~s["inside"] & ~quote
+        down = F.greatest(s["depth"] - 1, F.lit(0))
+        depth = F.when(~outside, s["depth"]).when(opens, s["depth"] + 1).otherwise(down)
+        text = F.when(quote, F.lit(0)).when(s["inside"] & opens, s["text"] + 1).otherwise(s["text"])
+        return state(depth, F.greatest(s["most"], depth + text), s["inside"] != quote, text)
+
+    zero = F.lit(0)
+    found = F.aggregate(signs, state(zero, zero, F.lit(False), zero), step)
+    return once(found, lambda s: F.when(s["inside"], opening).otherwise(s["most"]))
 
 
 def nesting_bound(rows: DataFrame, column: str = "payload") -> int:
-    """No payload nests deeper than its number of opening brackets."""
-    opening = F.length(column) - F.length(F.translate(F.col(column), "{[", ""))
-    found = rows.agg(F.max(opening)).first()[0]
-    return min(DEEPEST, max(1, found or 0))
+    """Levels that every payload of ``rows`` needs at most; more change nothing."""
+    return (rows.agg(F.max(nesting(F.col(column)))).first()[0] or 0) + _WRAPPED
 
 
 def _entry(path: Column, value: Column, done: bool = False) -> Column:
@@ -114,7 +138,7 @@ MODES: dict[str, tuple[Callable[[Column], Column], Callable[[Column], Column]]]
 def with_leaves(rows: DataFrame, value: str, levels: int, mode: str = "index") -> DataFrame:
     """Adds ``leaves``, the leaves of a VARIANT column as ``array<struct<path,
     value>>``; empty containers vanish. When two members get the same name, the
-    first in raw key order stays."""
+    first in raw key order stays; in the older modes the last."""
     step, name = MODES[mode]
     start = F.when(F.col(value).isNotNull(), F.array(_entry(F.lit(""), F.col(value))))
     rows = _expand(rows.withColumn("leaves", start), "leaves", step, levels)
@@ -122,7 +146,8 @@ def with_leaves(rows: DataFrame, value: str, levels: int, mode: str = "index") -
     def named(entry: Column) -> Column:
         return F.struct(name(entry["path"]).alias("path"), entry["value"].alias("value"))
 
-    return rows.withColumn("leaves", once(F.transform("leaves", named), _first_of_each_name))
+    kept = _first_of_each_name if mode == "index" else _last_of_each_name
+    return rows.withColumn("leaves", once(F.transform("leaves", named), kept))
 
 
 def _first_of_each_name(entries: Column) -> Column:
@@ -132,6 +157,10 @@ def _first_of_each_name(entries: Column) -> Column:
     return F.when(unique, entries).otherwise(first)
 
 
+def _last_of_each_name(entries: Column) -> Column:
+    return F.reverse(_first_of_each_name(F.reverse(entries)))
+
+
 def flattened(landing: DataFrame, levels: int | None = None) -> DataFrame:
     """Landing rows with ``leaves``: every payload value under its column name."""
     depth = nesting_bound(landing) if levels is None else levels

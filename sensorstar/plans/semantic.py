@@ -258,6 +258,9 @@ class Cube:
         for m in wanted:
             if m.type.startswith("distinct"):
                 keys[f"_{m.name}_value"] = value(m)
+            if m.type == "distinct_with_blank":
+                blank = F.expr(m.sql).isNull()
+                keys[f"_{m.name}_blank"] = within[m.name] & blank if m.name in within else blank
         aggregates = [
             _first_state(how, value(m)).alias(state) for m in wanted for state, (how, _) in self._parts(m)
         ]
@@ -285,7 +288,7 @@ class Cube:
             found = F.count_distinct(F.col(f"_{m.name}_value"))
         elif m.type == "distinct_with_blank":
             value = F.col(f"_{m.name}_value")
-            found = F.count_distinct(value) + F.coalesce(F.max(value.isNull().cast("int")), F.lit(0))
+            found = F.count_distinct(value) + F.coalesce(F.max(F.col(f"_{m.name}_blank").cast("int")), F.lit(0))
         else:
             found = _merge(f"_{m.name}", m.type)
         return found.alias(m.name)

@@ -25,6 +25,8 @@ MEMBER_SCHEMA = "dimension string, member string, key long"
 JOB_NAME = "load_camera_detections"
 # The control row that counts finished loads.
 LOADS_TOPIC = "#loads"
+# Control rows that count the finished batches of a stream.
+STREAM_TOPIC = "#stream:"
 # Load number of the unknown members, below every real load.
 SEED_LOAD = -1
 
@@ -128,6 +130,22 @@ class Warehouse:
     def members(self, through: int | None = None) -> DataFrame:
         return self._read("members", MEMBER_SCHEMA, self.loads() if through is None else through)
 
+    def members_of(self, name: str, through: int | None = None) -> DataFrame:
+        """Members of one dimension, from its own folders only.
+
+        The planner estimates a table by the files it lists and not by the partitions
+        a filter leaves, so a small dimension is seen to be small, and broadcast, only
+        if the other dimensions' files are not listed.
+        """
+        through = self.loads() if through is None else through
+        if (name, through) not in self._frames:
+            folders = self.spark.read.schema(MEMBER_SCHEMA + ", load int").option("basePath", self.path("members"))
+            rows = folders.parquet(f"{self.path('members')}/load=*/dimension={name}").where(F.col("load") < through)
+            if through > self.loads():
+                return rows.drop("load")
+            self._frames[name, through] = rows.drop("load")
+        return self._frames[name, through]
+
     def dimension(self, name: str) -> DataFrame:
         """Key and label of one dimension.
 
@@ -135,7 +153,7 @@ class Warehouse:
         small and shuffles one that outgrew that.
         """
         key, label = dimensions.DIMENSION_COLUMNS[name]
-        rows = self.members().where(F.col("dimension") == name)
+        rows = self.members_of(name)
         rows = rows.select(F.col("key").alias(key), F.col("member").alias(label))
         return dimensions.active_cities(rows) if name == "city" else rows
 
@@ -153,8 +171,19 @@ class Warehouse:
             return LoadReport(self.loads(), 0, 0, 0, mark)
         return self.load_messages(messages, topic_pattern, self.loads())
 
-    def load_messages(self, messages: DataFrame, topic: str, load: int) -> LoadReport:
-        """Load number ``load``; a number that is done already is skipped."""
+    def load_batch(self, messages: DataFrame, topic: str, stream: str, batch: int) -> LoadReport:
+        """Load a micro-batch as the next load, unless this batch of this stream is
+        done. The control row of the load says so, so both are written at once."""
+        done = control.high_water_mark(self.control(), f"{STREAM_TOPIC}{stream}", 0).first()[0]
+        if batch < done:
+            return LoadReport(self.loads(), 0, 0, 0, 0)
+        return self.load_messages(messages, topic, self.loads(), (f"{STREAM_TOPIC}{stream}", batch + 1))
+
+    def load_messages(
+        self, messages: DataFrame, topic: str, load: int, mark: tuple[str, int] | None = None
+    ) -> LoadReport:
+        """Load number ``load``; a number that is done already is skipped. ``mark`` is
+        a further control row, written with the load's own."""
         if load < self.loads():
             return LoadReport(load, 0, 0, 0, 0)
         run = str(uuid.uuid4())
@@ -162,13 +191,13 @@ class Warehouse:
         try:
             report = self._load(messages, load)
         except Exception as error:
-            self._log(run, topic, "ERROR", 0, str(error)[:2000])
+            self._log(run, topic, "ERROR", 0, str(error))
             raise
         if report.staged != report.loaded:
             message = f"{report.staged} staged, {report.loaded} loaded"
             self._log(run, topic, "ERROR", report.loaded, message)
             raise RuntimeError(message)
-        self._commit(topic, load, report.last_id)
+        self._commit(topic, load, report.last_id, mark)
         self._log(run, topic, "SUCCESS", report.loaded, None)
         return report
 
@@ -182,15 +211,15 @@ class Warehouse:
         known = self.members(load)
         # Numbering reads its input twice; the comparison with all known members runs once.
         fresh = pinned(dimensions.new_members(counts, known, ["dimension", "member"]).select("dimension", "member"))
-        highest = known.where("key > 0").groupBy("dimension").agg(F.max("key").alias("highest_key"))
+        used = (F.col("key") > 0) & (F.col("key") != self.profile.unknown_key)
+        highest = known.where(used).groupBy("dimension").agg(F.max("key").alias("highest_key"))
         keyed = dimensions.dense_keys(fresh, highest)
         member_path = f"{self.path('members')}/load={load}"
         keyed.write.mode("overwrite").partitionBy("dimension").parquet(member_path)
 
-        members = self.members(load + 1)
-        by_name = {d: members.where(F.col("dimension") == d) for d in dimensions.NATURAL_KEYS}
+        by_name = {d: self.members_of(d, load + 1) for d in dimensions.NATURAL_KEYS}
         hot = facts.hot_members(counts, "plate")
-        loaded = facts.star_lookup(staged, by_name, hot, self.profile.unknown_key)
+        loaded = facts.star_lookup(staged, by_name, hot, self.profile.unknown_key, self.start, self.end)
         fact_path = f"{self.path('facts')}/load={load}"
         (
             loaded.withColumn("week_bucket", timeparts.week_bucket(F.col("detection_time")))
@@ -204,9 +233,11 @@ class Warehouse:
         new = self.spark.read.schema(MEMBER_SCHEMA).parquet(member_path).count()
         return LoadReport(load, rows, fact_rows, new, last_id)
 
-    def _commit(self, topic: str, load: int, last_id: int) -> None:
+    def _commit(self, topic: str, load: int, last_id: int, mark: tuple[str, int] | None) -> None:
         now = dt.datetime.now(dt.timezone.utc)
         rows = [(LOADS_TOPIC, 0, load + 1, True, now)]
+        if mark:
+            rows.append((mark[0], 0, mark[1], True, now))
         if last_id:
             rows.append((topic, control.STAGE_STEP, last_id, True, now))
             rows.append((topic, control.FACT_STEP, last_id, True, now))
