@@ -239,8 +239,9 @@ def span_digests(scanned: DataFrame) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    base = F.filter("spans", lambda s: s["kind"].isin(*[r.kind for r in BASE]))
-    counts = [
-        F.size(F.filter("spans", lambda s, kind=rule.kind: s["kind"] == kind)).cast("long").alias(f"n_{rule.kind}") for rule in BASE
-    ]
+    def of(*kinds: str):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = of(*[rule.kind for rule in BASE])
+    counts = [F.size(of(rule.kind)).cast("long").alias(f"n_{rule.kind}") for rule in BASE]
     return scanned.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))

@@ -48,8 +48,8 @@ def _order_keys(calls: DataFrame, needs: DataFrame) -> DataFrame:
 
     Only needs that point forward move anything, so well-ordered conversations end at
     once; otherwise there is one round per step of the longest chain of moved calls.
-    A call that has moved more steps than there are calls at its place is in, or
-    behind, a circle; it goes back to where it stood.
+    A call that has moved as many steps as there are calls at its place needs itself,
+    or a call that does; it goes back to where it stood.
     """
     keys = calls.select("conv_id", "call_id", "position").dropDuplicates(["conv_id", "call_id"])
     state = stored(keys.withColumns({"place": F.col("position"), "hops": F.lit(0).cast("long"), "cyclic": F.lit(False)}))
@@ -58,29 +58,21 @@ def _order_keys(calls: DataFrame, needs: DataFrame) -> DataFrame:
         behind = (
             needs.join(needed, ["conv_id", "need"])
             .join(state, ["conv_id", "call_id"])
-            .where("not cyclic and (its_place > place or (its_place = place and its_hops >= hops))")
-            .groupBy("conv_id", "call_id")
+            .where("its_place > place or (its_place = place and its_hops >= hops)")
+            .groupBy("conv_id", "call_id", "cyclic")
             .agg(F.max("its_place").alias("new_place"), F.max(F.struct("its_place", "its_hops")).alias("last"))
         )
-        behind = stored(behind.select("conv_id", "call_id", "new_place", (F.col("last.its_hops") + 1).alias("new_hops")))
-        if behind.isEmpty():
-            return state
-        moved = state.join(behind, ["conv_id", "call_id"], "left").select(
+        behind = stored(behind.select("conv_id", "call_id", "cyclic", "new_place", (F.col("last.its_hops") + 1).alias("new_hops")))
+        if behind.where("not cyclic").isEmpty():  # circles go on for ever, nothing else does
+            home = F.when(F.col("cyclic"), F.col("position")).otherwise(F.col("place"))
+            return state.withColumns({"place": home, "hops": F.when(F.col("cyclic"), F.lit(0).cast("long")).otherwise(F.col("hops"))})
+        moved = state.join(behind.drop("cyclic"), ["conv_id", "call_id"], "left").select(
             "conv_id", "call_id", "position", F.coalesce("new_place", "place").alias("place"), F.coalesce("new_hops", "hops").alias("hops"), "cyclic"
         )
         places = moved.groupBy("conv_id", "place").agg(F.count("*").alias("there"), F.max("hops").alias("deepest"))
-        circles = places.where("deepest >= there").select("conv_id", "place", "there")
-        marked = moved.join(circles, ["conv_id", "place"], "left").withColumn("circle", F.col("cyclic") | F.coalesce(F.col("hops") >= F.col("there"), F.lit(False)))
-        state = stored(
-            marked.select(
-                "conv_id",
-                "call_id",
-                "position",
-                F.when(F.col("circle"), F.col("position")).otherwise(F.col("place")).alias("place"),
-                F.when(F.col("circle"), F.lit(0).cast("long")).otherwise(F.col("hops")).alias("hops"),
-                F.col("circle").alias("cyclic"),
-            )
-        )
+        full = places.where("deepest >= there").select("conv_id", "place", "there")
+        around = F.col("cyclic") | F.coalesce(F.col("hops") >= F.col("there"), F.lit(False))
+        state = stored(moved.join(full, ["conv_id", "place"], "left").withColumn("cyclic", around).drop("there"))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, needs: str = "after") -> DataFrame:
@@ -93,7 +85,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, needs: st
     must come first; names that are not calls of the conversation do not count.
 
     ``status``: ``linked``; ``waiting`` (no result); ``repeated`` (the id was used at
-    an earlier position); ``cyclic`` (needs itself in the end); ``orphan`` (a result
+    an earlier position); ``cyclic`` (needs itself in the end, or a call that does); ``orphan`` (a result
     without a call, with neither number nor line). Of several results, the first
     counts. Null ids meet nothing: their calls wait, their results are orphans.
     Arguments that are null or no object leave ``errors`` and no arguments in the
