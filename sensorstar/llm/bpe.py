@@ -12,7 +12,6 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -24,9 +23,9 @@ from pyspark.sql import functions as F
 from sensorstar.llm.common import by_batch
 
 # Words whose result a task remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 150_000
 # Pairs of tokens whose compatibility a task remembers before it starts anew.
-REMEMBERED_PAIRS = 2_000_000
+REMEMBERED_PAIRS = 400_000
 NEVER = 1 << 60
 
 
@@ -141,11 +140,6 @@ class TokenCounter:
         return len(pieces) // 2 + sum(sum(map(self.known.__getitem__, words_of(piece))) for piece in pieces[::2])
 
 
-@lru_cache(maxsize=2)
-def token_counter(tokenizer: str) -> TokenCounter:
-    return TokenCounter(tokenizer)
-
-
 def count_tokens(documents: DataFrame, tokenizer: str, limit: int = 2048) -> DataFrame:
     """``(doc_id, n_bytes, n_tokens, over_limit)`` per row of ``documents``; the
     tokenizer is the content of its file.
@@ -158,7 +152,7 @@ def count_tokens(documents: DataFrame, tokenizer: str, limit: int = 2048) -> Dat
     sent = documents.sparkSession.sparkContext.broadcast(tokenizer)
 
     def make():
-        counter = token_counter(sent.value)
+        counter = TokenCounter(sent.value)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts = [counter.of_text(t) if t else 0 for t in batch.column("text").to_pylist()]
@@ -337,11 +331,6 @@ class Codec:
         return self.blob[shift + np.arange(len(shift))].tobytes().decode("utf-8", errors="replace")
 
 
-@lru_cache(maxsize=2)
-def codec(tokenizer: str, pattern: str) -> Codec:
-    return Codec(tokenizer, pattern)
-
-
 def encode_decode(documents: DataFrame, tokenizer: str, pattern: str, with_ids: bool = True) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256, ids)`` per row of ``documents``:
     the tokens of the whole text, and digests of them and of the text they decode to.
@@ -352,7 +341,7 @@ def encode_decode(documents: DataFrame, tokenizer: str, pattern: str, with_ids:
     sent = documents.sparkSession.sparkContext.broadcast((tokenizer, pattern))
 
     def make():
-        coder = codec(*sent.value)
+        coder = Codec(*sent.value)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts, digests, decoded, ids = [], [], [], []

@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from sensorstar.session import broadcast_up_to, shared_folder
 
 # Rows and bytes of one Arrow batch: texts may be very long.
-BATCH_ROWS = 1000
-BATCH_BYTES = 8 << 20
+BATCH_ROWS = 500
+BATCH_BYTES = 4 << 20
 
 # Shingles are five words; near copies share three quarters of them.
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 75
 
 # Words whose hashes a task remembers before it starts anew.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

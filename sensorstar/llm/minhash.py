@@ -27,7 +27,7 @@ SEED = 20240229
 # Shingles whose windows are taken at once.
 WINDOW_ROWS = 2048
 # Documents that meet in one task when a bucket is compared; larger buckets are cut.
-BLOCK = 512
+BLOCK = 256
 # Ids that may be broadcast to pick documents: 8 bytes each.
 BROADCAST_IDS = 1_000_000
 
@@ -103,6 +103,13 @@ def _similar(shared, a, b):
     return shared * 100 >= (a + b - shared) * SIMILAR_PERCENT
 
 
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Values that two sets share; both are nearly in order, so sorting merges them."""
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
 def _bucket_links(members: DataFrame) -> DataFrame:
     """Links between components inside buckets, ``(a, b)``.
 
@@ -120,8 +127,7 @@ def _bucket_links(members: DataFrame) -> DataFrame:
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         bucket, low, high = (x.as_py() for x in key)
         reps, components_, block = (table.column(n).to_pylist() for n in ("rep", "component", "block"))
-        raw = table.column("shingles").combine_chunks()
-        sets = [frozenset(x.values.to_numpy().tolist()) for x in raw]
+        sets = [x.values.to_numpy() for x in table.column("shingles")]
         bands = np.array(table.column("bands").to_pylist(), np.int64)
         sizes = np.array([len(s) for s in sets], np.int64)
         block = np.array(block)
@@ -146,7 +152,7 @@ def _bucket_links(members: DataFrame) -> DataFrame:
                 near = near[~(bands[near, :here] == bands[x, :here]).any(axis=1)]
             for y in near.tolist():
                 mine, theirs = root(components_[x]), root(components_[y])
-                if mine != theirs and _similar(len(sets[x] & sets[y]), len(sets[x]), len(sets[y])):
+                if mine != theirs and _similar(_shared(sets[x], sets[y]), sizes[x], sizes[y]):
                     parent[mine] = theirs
                     found.append((reps[x], reps[y]))
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})

@@ -28,7 +28,7 @@ RIDGE = 0.1
 # Weight of a squared score difference between a text and its counterfactual.
 SWAP_PENALTY = 10.0
 ROUNDS = 25
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 # Words that name groups, by kind; a word is swapped for those beside it.
 IDENTITY_TERMS = (
@@ -222,7 +222,7 @@ def fit(
     """
     rows, counts = training_rows(documents, labels, per_class)
     if set(counts) != {0, 1}:
-        return Model({}, 500.0 if counts.get(1) else -500.0)
+        return Model({}, 1000.0 if counts.get(1) else -1000.0)
     rows = rows.persist()
     names = sorted({*_strongest(rows, features), *(f"={t}" for t in SWAPS)})
     found = _matrix_rows(rows, names).toPandas().sort_values(["toxic"], kind="stable")
