@@ -125,8 +125,9 @@ def training_rows(documents: DataFrame, labels: DataFrame, per_class: int = PER_
     return rows.join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("text", "toxic"), counts
 
 
-def _strongest(rows: DataFrame, features: int) -> list[str]:
-    """The features whose presence differs most between the classes, by a z-score."""
+def _strongest(rows: DataFrame, seen: dict[int, int], features: int) -> list[str]:
+    """The features whose presence differs most between the classes, by a z-score.
+    ``seen``: texts of each class, neither of them 0."""
 
     def make():
         def count(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -140,12 +141,11 @@ def _strongest(rows: DataFrame, features: int) -> list[str]:
         return count
 
     counted = by_batch(rows, make, "feature string, clean long, dirty long")
-    totals = rows.agg(F.count_if(F.col("toxic") == 0).alias("of_clean"), F.count_if(F.col("toxic") == 1).alias("of_dirty"))
     summed = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("dirty").alias("dirty"))
-    enough = summed.where(F.col("clean") + F.col("dirty") >= LEAST_TEXTS).join(F.broadcast(totals))
-    rate = (F.col("clean") + F.col("dirty")) / (F.col("of_clean") + F.col("of_dirty"))
-    spread = F.sqrt(rate * (1 - rate) * (1 / F.col("of_clean") + 1 / F.col("of_dirty")))
-    z = F.abs(F.col("dirty") / F.col("of_dirty") - F.col("clean") / F.col("of_clean")) / F.greatest(spread, F.lit(1e-9))
+    enough = summed.where(F.col("clean") + F.col("dirty") >= LEAST_TEXTS)
+    rate = (F.col("clean") + F.col("dirty")) / (seen[0] + seen[1])
+    spread = F.sqrt(rate * (1 - rate) * (1 / seen[0] + 1 / seen[1]))
+    z = F.abs(F.col("dirty") / seen[1] - F.col("clean") / seen[0]) / F.greatest(spread, F.lit(1e-9))
     best = enough.select("feature", F.round(z, 6).alias("z")).orderBy(F.desc("z"), "feature").limit(features)
     return [r["feature"] for r in best.collect()]
 
@@ -216,19 +216,20 @@ def fit(
 ) -> Model:
     """A model from at most ``2 * per_class`` labelled texts outside the held-out fold.
 
-    Without labels of both classes the score is the share of toxic labels, 0 without
-    any. Labels that are null or not 0 or 1, and labels of unknown documents, do not
-    count. Texts may be null or empty.
+    Without labelled texts of both classes every score is 1 if they are all toxic,
+    else 0. Labels that are null or not 0 or 1, and labels of unknown documents, do
+    not count. Texts may be null or empty.
     """
     rows, counts = training_rows(documents, labels, per_class)
-    if set(counts) != {0, 1}:
-        return Model({}, 1000.0 if counts.get(1) else -1000.0)
     rows = rows.persist()
-    names = sorted({*_strongest(rows, features), *(f"={t}" for t in SWAPS)})
+    seen = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    if set(seen) != {0, 1}:
+        rows.unpersist()
+        return Model({}, 1000.0 if seen.get(1) else -1000.0)
+    names = sorted({*_strongest(rows, seen, features), *(f"={t}" for t in SWAPS)})
     found = _matrix_rows(rows, names).toPandas().sort_values(["toxic"], kind="stable")
     rows.unpersist()
     y = found["toxic"].to_numpy(float)
-    seen = {c: max(1, int((y == c).sum())) for c in (0, 1)}
     total = counts[0] + counts[1]
     weight = np.array([counts[int(c)] / seen[int(c)] for c in y]) * len(y) / total
     own = [list(r) for r in found["own"]]

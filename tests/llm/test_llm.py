@@ -219,6 +219,8 @@ def test_toxicity_of_held_out_documents(spark):
     assert len(got) == 602 and got[600]["predicted"] == got[601]["predicted"] == 0
     none = toxicity.fit(docs, table.limit(0))
     assert none.score("anything", none.known()) == 0
+    only_toxic = toxicity.fit(docs.where("doc_id % 4 = 0 or doc_id is null"), table)
+    assert only_toxic.score("anything", only_toxic.known()) == 1
 
 
 def test_tool_calls_are_linked_ordered_and_checked(spark):
