@@ -16,6 +16,7 @@ from sensorstar.operators.numbering import number_rows_within
 
 #: A tool's parameters: name, type (of ``TYPES``), whether it must be given.
 Schemas = dict[str, list[tuple[str, str, bool]]]
+COLUMNS = ["conv_id", "call_id", "order_no", "status", "errors", "n_results", "line"]
 TYPES = {"string": ("STRING",), "integer": ("BIGINT",), "boolean": ("BOOLEAN",)}
 
 
@@ -77,7 +78,7 @@ def _order_keys(calls: DataFrame, needs: DataFrame) -> DataFrame:
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, needs: str = "after") -> DataFrame:
     """One row per call, and one per result without a call:
-    ``conv_id, call_id, order_no, status, errors, line``.
+    ``conv_id, call_id, order_no, status, errors, n_results, line``.
 
     ``calls`` has ``conv_id, call_id, position, name, arguments`` (JSON text), where
     ``position`` is unique in its conversation; ``results`` has ``conv_id, call_id,
@@ -85,9 +86,11 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, needs: st
     must come first; names that are not calls of the conversation do not count.
 
     ``status``: ``linked``; ``waiting`` (no result); ``repeated`` (the id was used at
-    an earlier position); ``cyclic`` (needs itself in the end, or a call that does); ``orphan`` (a result
-    without a call, with neither number nor line). Of several results, the first
-    counts. Null ids meet nothing: their calls wait, their results are orphans.
+    an earlier position); ``cyclic`` (needs itself in the end, or a call that does, answered or not);
+    ``orphan`` (a result without a call, not numbered; its line has its id and content).
+    ``n_results`` counts a call's results. The line of the id's first call has them
+    whatever its status: the first as ``result``, the others in order as
+    ``later_results``. Null ids meet nothing: their calls wait, their results are orphans.
     Arguments that are null or no object leave ``errors`` and no arguments in the
     line. Empty tables give no rows. Further columns are not read.
     """
@@ -116,12 +119,14 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, needs: st
     wanted = known.select("conv_id", "call_id", F.explode("needs").alias("need")).where("need is not null").distinct()
     keys = _order_keys(known, stored(wanted))
 
-    earliest = results.groupBy("conv_id", "call_id").agg(F.min("position").alias("position"))
-    answers = results.join(earliest, ["conv_id", "call_id", "position"]).select("conv_id", "call_id", "content")
+    results = results.select("conv_id", "call_id", "position", "content")
+    in_order = F.sort_array(F.collect_list(F.struct(F.col("position").isNull().alias("unplaced"), "position", "content")))
+    answers = results.where("conv_id is not null and call_id is not null").groupBy("conv_id", "call_id").agg(in_order.alias("answers"))
     linked = (
         calls.join(keys.select("conv_id", "call_id", "place", "hops", "cyclic"), ["conv_id", "call_id"], "left")
-        .join(answers.dropDuplicates(["conv_id", "call_id"]).withColumn("answered", F.lit(True)), ["conv_id", "call_id"], "left")
-        .withColumns({"moved": F.col("first") & F.col("place").isNotNull(), "answered": F.coalesce("answered", F.lit(False))})
+        .join(answers, ["conv_id", "call_id"], "left")
+        .withColumns({"moved": F.col("first") & F.col("place").isNotNull(), "n_results": F.when(F.col("first"), F.size("answers"))})
+        .withColumn("n_results", F.greatest(F.coalesce("n_results", F.lit(0)), F.lit(0)).cast("long"))
     )
     linked = linked.withColumns(
         {
@@ -129,23 +134,30 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, needs: st
             "hops": F.when(F.col("moved"), F.col("hops")).otherwise(F.lit(0).cast("long")),
             "status": F.when(~F.col("first"), "repeated")
             .when(F.coalesce("cyclic", F.lit(False)), "cyclic")
-            .when(F.col("answered"), "linked")
+            .when(F.col("n_results") > 0, "linked")
             .otherwise("waiting"),
         }
     )
-    quoted = F.to_json(F.struct(F.col("call_id").alias("id"), "name", F.when(F.col("status") == "linked", F.col("content")).alias("result")))
+    result = F.when(F.col("n_results") > 0, F.get("answers", F.lit(0))["content"]).alias("result")
+    later = F.when(F.col("n_results") > 1, F.transform(F.slice("answers", 2, F.size("answers")), lambda a: a["content"])).alias("later_results")
+    quoted = F.to_json(F.struct(F.col("call_id").alias("id"), later, "name", result))
     rest = F.substring(quoted, 2, 1 << 30)
     arguments = F.coalesce(F.concat(F.lit('"arguments":'), "arguments", F.when(rest == "}", "").otherwise(",")), F.lit(""))
     line = F.concat(F.lit("{"), arguments, rest)
-    rows = linked.select("conv_id", "call_id", "place", "hops", "position", "status", F.array_join("errors", "; ").alias("errors"), line.alias("line"))
+    rows = linked.select("conv_id", "call_id", "place", "hops", "position", "status", F.array_join("errors", "; ").alias("errors"), "n_results", line.alias("line"))
     numbered = number_rows_within(rows.where("conv_id is not null"), ["conv_id"], ["place", "hops", "position", "call_id"], "order_no")
-    columns = ["conv_id", "call_id", "order_no", "status", "errors", "line"]
     nothing = F.lit(None).cast("long")
-    lost = rows.where("conv_id is null").withColumn("order_no", nothing).select(columns)
+    lost = rows.where("conv_id is null").withColumn("order_no", nothing).select(COLUMNS)
     orphans = results.join(known.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti").select(
-        "conv_id", "call_id", nothing.alias("order_no"), F.lit("orphan").alias("status"), F.lit("").alias("errors"), F.lit(None).cast("string").alias("line")
+        "conv_id",
+        "call_id",
+        nothing.alias("order_no"),
+        F.lit("orphan").alias("status"),
+        F.lit("").alias("errors"),
+        F.lit(1).cast("long").alias("n_results"),
+        F.to_json(F.struct(F.col("call_id").alias("id"), F.col("content").alias("result"))).alias("line"),
     )
-    return numbered.select(columns).union(lost).union(orphans)
+    return numbered.select(COLUMNS).union(lost).union(orphans)
 
 
 # The tools that the turns of the conversations table are read as calls of.
@@ -185,6 +197,24 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+def other_turns(conversations: DataFrame) -> DataFrame:
+    """Turns that are neither calls nor results, in the columns of ``link_calls``: not
+    numbered, with their content, role and turn as the line."""
+    role = F.col("role")
+    others = conversations.where(role.isNull() | ~role.isin("user", "assistant"))
+    line = F.to_json(F.struct(F.col("text").alias("content"), "role", "turn"))
+    return others.select(
+        "conv_id",
+        F.lit(None).cast("string").alias("call_id"),
+        F.lit(None).cast("long").alias("order_no"),
+        F.lit("turn").alias("status"),
+        F.lit("").alias("errors"),
+        F.lit(0).cast("long").alias("n_results"),
+        line.alias("line"),
+    )
+
+
 def conversation_calls(conversations: DataFrame) -> DataFrame:
-    """The turns of the conversations table as linked calls."""
-    return link_calls(*turns_as_calls(conversations), TOOLS)
+    """The turns of the conversations table as linked calls, and those of further
+    roles as they are."""
+    return link_calls(*turns_as_calls(conversations), TOOLS).union(other_turns(conversations))

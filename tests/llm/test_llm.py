@@ -251,6 +251,26 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert tool_calls.link_calls(spark.createDataFrame([], call), spark.createDataFrame([], result), schemas).count() == 0
 
 
+def test_no_result_or_turn_is_lost(spark):
+    call = "conv_id long, call_id string, position long, name string, arguments string"
+    result = "conv_id long, call_id string, position long, content string"
+    calls = [(1, "p", 0, "add", '{"after":"q"}'), (1, "q", 1, "add", '{"after":"p"}'), (1, "r", 2, "add", "{}")]
+    results = [(1, "p", 5, "of p"), (1, "r", 8, "third"), (1, "r", 6, "first"), (1, "r", 7, None), (1, "x", 9, "lost")]
+    linked = tool_calls.link_calls(spark.createDataFrame(calls, call), spark.createDataFrame(results, result), {"add": [("after", "string", False)]})
+    assert {r["call_id"]: (r["status"], r["n_results"], r["line"]) for r in linked.collect()} == {
+        "p": ("cyclic", 1, '{"arguments":{"after":"q"},"id":"p","name":"add","result":"of p"}'),
+        "q": ("cyclic", 0, '{"arguments":{"after":"p"},"id":"q","name":"add"}'),
+        "r": ("linked", 3, '{"arguments":{},"id":"r","later_results":[null,"third"],"name":"add","result":"first"}'),
+        "x": ("orphan", 1, '{"id":"x","result":"lost"}'),
+    }
+    turns = spark.createDataFrame(
+        [(1, 0, "system", "Be kind."), (1, 1, None, "who?"), (1, 2, "user", "hello"), (1, 3, "assistant", "yes")], "conv_id long, turn int, role string, text string"
+    )
+    found = tool_calls.conversation_calls(turns).collect()
+    assert sorted(r["line"] for r in found if r["status"] == "turn") == ['{"content":"Be kind.","role":"system","turn":0}', '{"content":"who?","turn":1}']
+    assert len(found) == 3
+
+
 def test_the_pipeline_keeps_clean_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns, seen = docs.columns, {}
