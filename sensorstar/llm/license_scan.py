@@ -3,12 +3,16 @@
 Texts are cut into lines and sentences. Neighbouring units that use the templates'
 words and hold a cue are a candidate block. Each template is a raw Zstandard
 dictionary; templates are ranked by how much smaller the block becomes with them, and
-the first whose exact wording differs in few enough words is the licence.
+the first whose exact wording differs in few enough words is the licence. Where none
+saves enough of a whole block, the same is done in each part of the block that has
+enough of a template's words, so that what stands beside a notice does not hide it.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
 
@@ -150,6 +154,9 @@ class Finder:
             for _, words in self.templates
         ]
         self.known: dict[tuple[str, ...], list] = {}
+        # Words of each template and how often, those of few templates first.
+        spread = Counter(w for _, words in self.templates for w in set(words))
+        self.counts = [sorted(Counter(words).items(), key=lambda c: (spread[c[0]], c[0])) for _, words in self.templates]
 
     def savings(self, words: list[str]) -> list[tuple[float, int]]:
         """Templates that save enough, the largest saving first."""
@@ -194,8 +201,65 @@ class Finder:
                 name, first, last, different, saving = winner
                 found.append((name, low + first, low + last, different, saving))
                 todo += [(low, low + first), (low + last, high)]
+                continue
+            end = low
+            for name, first, last, different, saving in self._hidden(part):
+                found.append((name, low + first, low + last, different, saving))
+                todo.append((end, low + first))
+                end = low + last
+            if end > low:
+                todo.append((end, high))
         return sorted(found, key=lambda f: f[1])
 
+    def _hidden(self, words: list[str]) -> list[tuple[str, int, int, int, float]]:
+        """Confirmed templates of which no two share a word of the block, in order:
+        those with the most words in common first, then those that save most."""
+        confirmed = []
+        for number, low, high in self._windows(words):
+            name, template = self.templates[number]
+            different, first, last = self.difference(words[low:high], template)
+            if last and different <= MOST_DIFFERENT * len(template):
+                block = " ".join(words[low + first : low + last]).encode()
+                saving = 1 - len(self.primed[number].compress(block)) / len(self.plain.compress(block))
+                if saving >= LEAST_SAVING:
+                    confirmed.append((len(template) - different, saving, name, low + first, low + last, different))
+        taken, chosen = bytearray(len(words)), []
+        for _, saving, name, first, last, different in sorted(confirmed, key=lambda c: (-c[0], -c[1], c[3])):
+            if not any(taken[first:last]):
+                taken[first:last] = b"\1" * (last - first)
+                chosen.append((name, first, last, different, saving))
+        return sorted(chosen, key=lambda c: c[1])
+
+    def _windows(self, words: list[str]) -> Iterator[tuple[int, int, int]]:
+        """``(template, first word, word after the last)`` of all parts that could be
+        confirmed: as long as the template and the words that may differ, with all its
+        words but those, beginning with one of them."""
+        places = defaultdict(list)
+        for place, word in enumerate(words):
+            if word in self.vocabulary:
+                places[word].append(place)
+        for number, counts in enumerate(self.counts):
+            length = len(self.templates[number][1])
+            spare = may_differ = int(MOST_DIFFERENT * length)
+            for word, wanted in counts:
+                spare -= max(0, wanted - len(places.get(word, ())))
+                if spare < 0:
+                    break
+            if spare < 0:
+                continue
+            wanted = dict(counts)
+            at = sorted(p for word in wanted for p in places.get(word, ()))
+            inside, common, end = Counter(), 0, 0
+            for begin, first in enumerate(at):
+                while end < len(at) and at[end] < first + length + may_differ:
+                    inside[words[at[end]]] += 1
+                    common += inside[words[at[end]]] <= wanted[words[at[end]]]
+                    end += 1
+                if common >= length - may_differ:
+                    yield number, first, at[end - 1] + 1
+                common -= inside[words[at[begin]]] <= wanted[words[at[begin]]]
+                inside[words[at[begin]]] -= 1
+
     def _winner(self, words: list[str]) -> tuple[str, int, int, int, float] | None:
         """The confirmed template with the fewest differing words among those that save
         about as much as the first one confirmed."""

@@ -188,6 +188,23 @@ def test_licences_and_their_wording(spark):
     assert texts[0][found[0]["start"] : found[0]["end"]] == "Released under the MIT License"
 
 
+def test_licences_beside_other_lines():
+    found = license_scan.Finder()
+    line = "Copyright 2019-2024 the Foo project authors and other contributors, all rights reserved."
+    warranty = "This software is provided as is, without warranty of any kind."
+    for name, words in found.templates:
+        notice = " ".join(words)
+        for text in (f"{line}\n{notice}\n", f"{line}\n{notice}\n{warranty}\n", f"{line} {warranty} {line}\n{notice}\n{warranty} {line}\n"):
+            got = found.in_text(text)
+            assert [(f["license"], f["n_different"], text[f["start"] : f["end"]]) for f in got] == [(name, 0, notice)]
+    listed = [(name, f"Licensed under the {title}.") for name, title in license_scan.NAMES]
+    text = "\n".join(notice for _, notice in listed)
+    assert [(f["license"], text[f["start"] : f["end"]] + ".") for f in found.in_text(text)] == listed
+    changed = license_scan.TEXTS[0][1].replace("free of charge", "gratis").replace("publish, ", "")
+    got = found.in_text(f"{line}\n{changed}\n" + f"{line} {warranty}\n" * 40 + "Released under the ISC License.")
+    assert [(f["license"], f["n_different"]) for f in got] == [("MIT", 4), ("ISC", 0)]
+
+
 def test_swaps_take_weight_from_words_for_groups():
     rng = np.random.default_rng(0)
     insult, group = rng.random(400) < 0.3, rng.random(400) < 0.5
