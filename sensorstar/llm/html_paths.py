@@ -3,9 +3,10 @@
 Every piece of text has a path of tags from the root. Per path, the length of its
 text and its punctuation are summed and divided by its number of pieces. Both ratios
 are smoothed over neighbouring pieces, multiplied, and averaged back to paths; paths
-above a threshold are content. The smallest container that holds nearly all content
-is the article; its pieces are the text, but for marked boilerplate and bare lists of
-links.
+above a threshold are content, and so are headings and blocks that are not mostly
+links. Where article or main tags hold nearly all text of paths above the threshold,
+all that is in them is the article; else the smallest container of all content is.
+Its pieces are the text, but for marked boilerplate and bare lists of links.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from sensorstar.llm.common import by_batch
 KERNEL = np.array([1, 2, 4, 2, 1]) / 10
 # A path is content from this share of the page's mean score on (mean by characters).
 SHARE_OF_MEAN = 0.25
-# The article's container holds this share of the characters of content paths.
+# Article and main tags are believed if they hold this share of the characters of
+# content paths.
 CONTAINED = 0.8
 
 TOKEN = re.compile(
@@ -177,13 +179,27 @@ def _article(found: list[_Piece]) -> str:
     scores = path_scores(told)
     size = [len(p.text) for p in told]
     mean = sum(scores[p.element.path] * n for p, n in zip(told, size, strict=True)) / sum(size)
-    content = [p for p in told if scores[p.element.path] >= SHARE_OF_MEAN * mean]
-    inside = _container(content)
-    kept = [p for p in open_pieces if inside is None or _within(p.element, inside)]
+    high = {path for path, score in scores.items() if score >= SHARE_OF_MEAN * mean}
+    best = [p for p in told if p.element.path in high]
+    if sum(len(p.text) for p in best if p.element.in_article) >= CONTAINED * sum(len(p.text) for p in best):
+        kept = [p for p in open_pieces if p.element.in_article]
+    else:
+        plain = _text_blocks(told)
+        inside = _container([p for p in told if p.element.path in high or p.block in plain or _in_heading(p.element)])
+        kept = [p for p in open_pieces if inside is None or _within(p.element, inside)]
     bare = _link_blocks(kept)
     return _joined([p for p in kept if p.block not in bare])
 
 
+def _text_blocks(told: list[_Piece]) -> set[int]:
+    """Blocks with letters or digits of which no more than half are in links."""
+    letters: dict[int, int] = defaultdict(int)
+    for piece in told:
+        letters[piece.block] += sum(map(str.isalnum, piece.text)) * (-1 if piece.link else 1)
+    written = {p.block for p in told if not p.link and any(map(str.isalnum, p.text))}
+    return {block for block in written if letters[block] >= 0}
+
+
 def _in_heading(element: _Element | None) -> bool:
     while element:
         if element.name in HEADINGS:
@@ -201,27 +217,18 @@ def _within(element: _Element | None, container: _Element) -> bool:
 
 
 def _container(content: list[_Piece]) -> _Element | None:
-    """The deepest container with most of the content, or the article around it."""
+    """The smallest container that holds all content; none holds texts beside the root."""
     held: dict[int, int] = defaultdict(int)
     elements: dict[int, _Element] = {}
-    total = 0
     for piece in content:
-        total += len(piece.text)
         element = piece.element
         while element:
             if element.name in CONTAINERS:
-                held[element.number] += len(piece.text)
+                held[element.number] += 1
                 elements[element.number] = element
             element = element.parent
-    enough = [n for n, size in held.items() if size >= CONTAINED * total]
-    if not enough:
-        return None
-    best = above = elements[max(enough)]
-    while above:
-        if above.name in ("article", "main"):
-            return above
-        above = above.parent
-    return best
+    around = [n for n, pieces_ in held.items() if pieces_ == len(content)]
+    return elements[max(around)] if around else None
 
 
 def _link_blocks(kept: list[_Piece]) -> set[int]:

@@ -172,6 +172,21 @@ def test_pages_keep_the_article_only():
     assert [html_paths.main_text(p) for p in (None, "", "<nav>a</nav>", "<p cla", "plain, text")] == ["", "", "", "", "plain, text"]
 
 
+def test_pages_without_article_keep_all_text():
+    body = "<p>" + "Long text, with commas, and more. " * 40 + "</p>"
+    long = " ".join(["Long text, with commas, and more."] * 40)
+    menu = "<div><a href=a>Home</a> | <a href=b>About us</a></div>"
+    nested = f"{menu}<div class=post><h1>Title</h1><p>Lead</p><div class=body>{body}</div></div>"
+    assert html_paths.main_text(nested) == f"Title Lead {long}"
+    divs = f"{menu}<div class=post><div class=title>Title</div><div class=lead>Lead</div><div class=body>{body}</div></div>"
+    assert html_paths.main_text(f"<html><body>{divs}</body></html>") == f"Title Lead {long}"
+    for tag in ("section", "div", "article"):
+        siblings = f"{menu}<div><{tag}>{body}</{tag}><{tag}><p>A second, shorter part. It is text, too.</p></{tag}></div>"
+        assert html_paths.main_text(f"<html><body>{siblings}</body></html>") == f"{long} A second, shorter part. It is text, too."
+    cells = f"<table><tr><td>{menu}</td><td>{body}</td><td>Short</td></tr><tr><td><p>Last, but not least.</p></td></tr></table>"
+    assert html_paths.main_text(f"<body>{cells}</body>").endswith(f"{long} Short Last, but not least.")
+
+
 def test_pages_of_awkward_tables(spark):
     rows = spark.createDataFrame([(1, "u", "<p>A b.</p>"), (None, None, None), (1, "u", "")], "page_id long, url string, html string")
     assert sorted((r["text"], r["n_chars"]) for r in html_paths.extract_pages(rows).collect()) == [("", 0), ("", 0), ("A b.", 4)]
