@@ -6,7 +6,8 @@ are smoothed over neighbouring pieces, multiplied, and averaged back to paths; p
 above a threshold are content, and so are headings and blocks that are not mostly
 links. Where article or main tags hold nearly all text of paths above the threshold,
 all that is in them is the article; else the smallest container of all content is.
-Its pieces are the text, but for marked boilerplate and bare lists of links.
+Its pieces are the text, but for marked boilerplate and, outside article and main,
+bare lists of links of paths below the threshold.
 """
 
 from __future__ import annotations
@@ -54,7 +55,7 @@ CONTAINERS = frozenset("html body article main section div td center".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 # Tags, roles and names of boilerplate.
-BOILERPLATE_TAGS = frozenset("head nav footer aside form button select option textarea input dialog svg math object canvas audio video menu".split())
+BOILERPLATE_TAGS = frozenset("head nav footer aside form button select option textarea input dialog svg annotation annotation-xml object canvas audio video menu".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 BOILERPLATE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored sponsors promo promos promotion "
@@ -187,7 +188,7 @@ def _article(found: list[_Piece]) -> str:
         plain = _text_blocks(told)
         inside = _container([p for p in told if p.element.path in high or p.block in plain or _in_heading(p.element)])
         kept = [p for p in open_pieces if inside is None or _within(p.element, inside)]
-    bare = _link_blocks(kept)
+    bare = _link_blocks(kept, high)
     return _joined([p for p in kept if p.block not in bare])
 
 
@@ -231,12 +232,14 @@ def _container(content: list[_Piece]) -> _Element | None:
     return elements[max(around)] if around else None
 
 
-def _link_blocks(kept: list[_Piece]) -> set[int]:
-    """Blocks of lists in which every word is a link, where such blocks follow each other."""
+def _link_blocks(kept: list[_Piece], high: set[str]) -> set[int]:
+    """Blocks of lists in which every word is a link, where such blocks follow each other;
+    none in article or main, none of paths above the threshold."""
     linked: dict[int, bool] = {}
     for piece in kept:
         if not piece.text.isspace():
-            listed = piece.link and "/li" in piece.element.path
+            element = piece.element
+            listed = piece.link and "/li" in element.path and not element.in_article and element.path not in high
             linked[piece.block] = linked.get(piece.block, True) and listed
     order = list(linked)
     bare = {b for b in order if linked[b]}

@@ -187,6 +187,17 @@ def test_pages_without_article_keep_all_text():
     assert html_paths.main_text(f"<body>{cells}</body>").endswith(f"{long} Short Last, but not least.")
 
 
+def test_pages_keep_sources_and_formulas():
+    links = "<ul><li><a href=a>First source</a></li><li><a href=b>Second source</a></li></ul>"
+    long = "<p>" + "Long text, with commas, and more. " * 20 + "</p>"
+    formula = "<p>So <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></semantics></math>.</p>"
+    page = f"<body>{links}<article>{long}{formula}<h2>Sources</h2>{links}</article></body>"
+    text = html_paths.main_text(page)
+    assert text.startswith("Long text") and text.endswith("So x = 2 . Sources First source Second source")
+    page = f"<body><div><h1>Title</h1>{links}{long * 4}</div></body>"
+    assert "source" not in html_paths.main_text(page)
+
+
 def test_pages_of_awkward_tables(spark):
     rows = spark.createDataFrame([(1, "u", "<p>A b.</p>"), (None, None, None), (1, "u", "")], "page_id long, url string, html string")
     assert sorted((r["text"], r["n_chars"]) for r in html_paths.extract_pages(rows).collect()) == [("", 0), ("", 0), ("A b.", 4)]
