@@ -80,7 +80,7 @@ def sketches(documents: DataFrame) -> DataFrame:
 
 
 def shingle_sets(documents: DataFrame) -> DataFrame:
-    """``(doc_id, shingles, bands)``: the full set of hashes of each document."""
+    """``(doc_id, digest, shingles, bands)``: the full set of hashes of each document."""
 
     def make():
         hashes, minhash = WordHashes(), CirculantMinHash()
@@ -90,12 +90,13 @@ def shingle_sets(documents: DataFrame) -> DataFrame:
             kind = pa.list_(pa.int64())
             shingles = pa.array([x.view(np.int64) for x in found], kind)
             bands = pa.array([minhash.band_keys(x) if len(x) else None for x in found], kind)
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), shingles, bands], ["doc_id", "shingles", "bands"])
+            digests = pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in found], pa.binary())
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), digests, shingles, bands], ["doc_id", "digest", "shingles", "bands"])
 
         return sets
 
     source = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return by_batch(source, make, "doc_id long, shingles array<bigint>, bands array<bigint>")
+    return by_batch(source, make, "doc_id long, digest binary, shingles array<bigint>, bands array<bigint>")
 
 
 def _similar(shared, a, b):
@@ -165,8 +166,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     """One row per row of ``documents``: ``doc_id, n_shingles, component_id, kept``.
 
     Two documents are linked when ``100 * shared >= 75 * all`` of their distinct
-    five-word shingles. Equal sets are one class from the start. In each bucket of a
-    band, every class is first compared with the bucket's smallest document; only
+    five-word shingles. Equal sets are one class from the start, with a number of its
+    own, as an id may repeat with other texts. In each bucket of a band, every class is
+    first compared with the bucket's smallest one; only
     where a bucket still holds several components, its members are compared with
     each other, in blocks. So a group of copies costs one pair per copy and band,
     and no link that shares a band is lost.
@@ -177,30 +179,29 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     """
     sketched = stored(sketches(documents))
     docs = sketched.where("doc_id is not null and n_shingles > 0")
-    classes = docs.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+    classes = docs.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()))
 
-    keyed = docs.select(F.explode("bands").alias("key"), "doc_id", "digest")
-    text = F.xxhash64("digest")
-    buckets = (
-        keyed.groupBy("key")
-        .agg(F.min("doc_id").alias("leader"), F.min(text).alias("low"), F.max(text).alias("high"))
-        .where("low <> high")
-        .select("key", "leader")
-    )
-    met = keyed.join(buckets, "key").select("key", "leader", "digest").distinct()
-    met = stored(met.join(classes.select("digest", "rep"), "digest").select("key", "leader", "rep"))
+    firsts = classes.select("digest", F.col("first").alias("doc_id"), "rep")
+    keyed = docs.join(firsts, ["digest", "doc_id"]).select(F.explode("bands").alias("key"), "rep")
+    buckets = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader <> last")
+    met = stored(keyed.join(buckets, "key").select("key", "leader", "rep").distinct())
     pairs = met.where("leader <> rep").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
 
-    ids = stored(met.select(F.col("rep").alias("doc_id")).distinct())
-    wanted = documents.where("doc_id is not null").join(broadcast_up_to(ids, ids.count(), BROADCAST_IDS), "doc_id", "left_semi")
-    sets = stored(shingle_sets(wanted.dropDuplicates(["doc_id"])))
+    wanted = stored(firsts.join(met.select("rep").distinct(), "rep"))
+    n_wanted = wanted.count()
+    ids = broadcast_up_to(wanted.select("doc_id").distinct(), n_wanted, BROADCAST_IDS)
+    texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
+    found = shingle_sets(texts.dropDuplicates(["doc_id", "text"]))
+    found = found.join(broadcast_up_to(wanted, n_wanted, BROADCAST_IDS), ["doc_id", "digest"])
+    sets = stored(found.select("rep", "shingles", "bands"))
 
-    first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
-    second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
+    first = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("of_a"))
+    second = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("of_b"))
     sizes = (F.size("of_a"), F.size("of_b"))
     compared = pairs.join(first, "a").join(second, "b").where(F.least(*sizes) * 100 >= F.greatest(*sizes) * SIMILAR_PERCENT)
     links = compared.where(_similar(F.size(F.array_intersect("of_a", "of_b")), *sizes)).select("a", "b")
-    copies = docs.join(classes, "digest").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    copies = docs.join(classes, "digest").where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     links = stored(links)
 
     labelled = met.join(components(links), F.col("rep") == F.col("node"), "left")
@@ -211,9 +212,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .where("low <> high")
         .select("key", "size")
     )
-    members = labelled.join(mixed_buckets, "key").join(sets, F.col("rep") == F.col("doc_id")).drop("doc_id")
-    more = _bucket_links(members)
-    labels = components(stored(links.union(more).union(copies)))
+    members = labelled.join(mixed_buckets, "key").join(sets, "rep")
+    joined = links.union(_bucket_links(members))
+    one = classes.select(F.col("rep").alias("a"), F.col("first").alias("of_a"))
+    other = classes.select(F.col("rep").alias("b"), F.col("first").alias("of_b"))
+    joined = joined.join(one, "a").join(other, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    labels = components(stored(joined.union(copies)))
 
     component = F.coalesce("component", "doc_id")
     return sketched.join(labels, F.col("doc_id") == F.col("node"), "left").select(

@@ -78,6 +78,13 @@ def test_near_duplicates_of_awkward_tables(spark):
     assert minhash.without_near_duplicates(rows).count() == 3
 
 
+def test_near_duplicates_of_an_id_with_two_texts(spark):
+    one, two, three = (" ".join(f"{name}{n}" for n in range(60)) for name in "abc")
+    rows = [(1, one), (1, two), (1, three), (2, f"{one} x"), (3, f"{two} y"), (4, f"{three} z"), (5, "alone")]
+    found = minhash.near_duplicates(documents(spark, [t for _, t in rows], [n for n, _ in rows])).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == [(1, 1)] * 3 + [(2, 1), (3, 1), (4, 1), (5, 5)]
+
+
 def test_contained_items_equal_all_pairs(spark):
     rng = random.Random(4)
     items = [" ".join(f"i{n}_{k}" for k in range(rng.randrange(1, 40))) for n in range(12)] + [None, "", "just three words"]
