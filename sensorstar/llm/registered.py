@@ -18,6 +18,7 @@ from sensorstar.llm.mtree import embedding_top_k
 from sensorstar.llm.secret_scan import scan_secrets, span_digests
 from sensorstar.llm.tool_calls import conversation_calls
 from sensorstar.llm.toxicity import toxicity
+from sensorstar.llm.transducer import byte_round_trip, read_ranks
 
 
 def op1_dictionary_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,12 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op13_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the tokens of all documents by a file of ranks, and of their bytes."""
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return byte_round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     queries = (
         op1_dictionary_licenses,
@@ -83,6 +90,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_backtracking_bpe,
         op9_tool_call_links,
         op10_secret_automaton,
+        op13_transducer_bpe,
     )
     return {query.__name__: query for query in queries}
 
