@@ -7,6 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorstar.llm.anchor_codes import embedding_codes
+from sensorstar.llm.anchor_codes import oracle as vector_code_sql
 from sensorstar.llm.bpe import count_tokens, encode_decode, read_tokenizer
 from sensorstar.llm.common import table
 from sensorstar.llm.decontaminate import ORACLE as CONTAMINATED
@@ -72,6 +74,11 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op12_anchor_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as codes of four bytes, with their errors."""
+    return embedding_codes(table(spark, sf_dir, "embeddings"))
+
+
 def op13_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the tokens of all documents by a file of ranks, and of their bytes."""
     ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -90,6 +97,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_backtracking_bpe,
         op9_tool_call_links,
         op10_secret_automaton,
+        op12_anchor_codes,
         op13_transducer_bpe,
     )
     return {query.__name__: query for query in queries}
@@ -108,4 +116,8 @@ FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 QUALIFY rank <
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op3_containment_decontamination": CONTAMINATED, "op7_mtree_top_k": TOP_K}
+    return {
+        "op3_containment_decontamination": CONTAMINATED,
+        "op7_mtree_top_k": TOP_K,
+        "op12_anchor_codes": vector_code_sql(),
+    }
