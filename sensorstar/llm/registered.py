@@ -13,6 +13,8 @@ from sensorstar.llm.bpe import count_tokens, encode_decode, read_tokenizer
 from sensorstar.llm.common import table
 from sensorstar.llm.decontaminate import ORACLE as CONTAMINATED
 from sensorstar.llm.decontaminate import contaminated
+from sensorstar.llm.hilbert_negatives import ORACLE as NEGATIVES
+from sensorstar.llm.hilbert_negatives import embedding_negatives
 from sensorstar.llm.html_paths import extract_pages
 from sensorstar.llm.license_scan import scan_licenses
 from sensorstar.llm.minhash import near_duplicates
@@ -74,6 +76,11 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op11_hilbert_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all vectors."""
+    return embedding_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op12_anchor_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors as codes of four bytes, with their errors."""
     return embedding_codes(table(spark, sf_dir, "embeddings"))
@@ -97,6 +104,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_backtracking_bpe,
         op9_tool_call_links,
         op10_secret_automaton,
+        op11_hilbert_negatives,
         op12_anchor_codes,
         op13_transducer_bpe,
     )
@@ -119,5 +127,6 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op3_containment_decontamination": CONTAMINATED,
         "op7_mtree_top_k": TOP_K,
+        "op11_hilbert_negatives": NEGATIVES,
         "op12_anchor_codes": vector_code_sql(),
     }
