@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from sensorstar.functions.text import TABLE_KEYWORDS
 from sensorstar.operators.discovery import ISO_TIME
-from sensorstar.plans.registered_sensors import FUSED, GROUPS
+from sensorstar.plans.registered_sensors import FIRST_STEP, FUSED, GROUPS, LAST_GROUP, NARROW
 from sensorstar.sources.sample_landing import SENSOR_COLUMNS, as_sql
 
 QUOTE = "''''"
@@ -27,6 +27,10 @@ def logical(depth: int) -> str:
     return f"'/' || array_to_string(list_filter(string_split(topic, '/'), lambda p: p <> '')[1:{depth}], '/')"
 
 
+# digits alone are read exactly, other numbers are rounded to even
+WHOLE = """CASE WHEN regexp_matches(t.text, '^[+-]?[0-9]+$') THEN TRY_CAST(t.text AS BIGINT)
+  ELSE TRY_CAST(round_even(TRY_CAST(t.text AS DOUBLE), 0) AS BIGINT) END"""
+
 ISO = ISO_TIME.replace("'", "''")
 PRELUDE = f"""WITH landing AS ({as_sql(SENSOR_COLUMNS, "orders")}),
 read AS (SELECT id, time, topic, payload, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON)
@@ -49,7 +53,8 @@ typed AS (SELECT *, {logical(1)} AS "group", CASE WHEN type = 'BOOLEAN' THEN 'BO
   FROM leaves),
 grouped AS (SELECT "group", path, arg_min(kind, id) AS type, min(id) AS first_seen_id FROM typed GROUP BY 1, 2),
 conformed AS (SELECT t.id, t.topic, t.path, g.type, g.type IN ('BIGINT', 'DOUBLE PRECISION') AS numeric_column, t.text,
-  CASE WHEN g.type = 'BIGINT' THEN round_even(TRY_CAST(t.text AS DOUBLE), 0) WHEN g.type = 'DOUBLE PRECISION' THEN TRY_CAST(t.text AS DOUBLE) END AS number
+  CASE WHEN g.type = 'BIGINT' THEN {WHOLE} END AS whole,
+  CASE WHEN g.type = 'DOUBLE PRECISION' THEN TRY_CAST(t.text AS DOUBLE) END AS number
   FROM typed t JOIN grouped g ON g."group" = t."group" AND g.path = t.path),
 elements AS (SELECT id, CAST(0 AS INTEGER) AS element, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON)
     ELSE json_object('value', payload) END AS j FROM landing WHERE NOT coalesce(payload LIKE '[%' AND json_valid(payload), false)
@@ -125,12 +130,11 @@ DECODED = """CASE WHEN doc_id % 3 = 0 THEN text
   WHEN doc_id % 3 = 1 THEN 'čž' || regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')
   ELSE chr(129) || 'è' || regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') END"""
 
-WIDE = """SELECT l.id, any_value(l.time) AS time, any_value(l.topic) AS topic,
-  CAST(max(CASE WHEN path = 'level' THEN number END) AS BIGINT) AS level, max(CASE WHEN path = 'battery' THEN number END) AS battery,
+WIDE = f"""SELECT l.id, any_value(l.time) AS time, any_value(l.topic) AS topic,
+  max(CASE WHEN path = 'level' THEN whole END) AS level, max(CASE WHEN path = 'battery' THEN number END) AS battery,
   max(CASE WHEN path = 'state' THEN text END) AS state, max(CASE WHEN path = 'extra' THEN text END) AS extra,
   max(CASE WHEN path = 'raw_value' THEN text END) AS raw_value
-  FROM landing l JOIN (SELECT t.id, t.path, t.text, CASE WHEN g.type = 'BIGINT' THEN round_even(TRY_CAST(t.text AS DOUBLE), 0)
-    ELSE TRY_CAST(t.text AS DOUBLE) END AS number FROM typed t JOIN
+  FROM landing l JOIN (SELECT t.id, t.path, t.text, {WHOLE} AS whole, TRY_CAST(t.text AS DOUBLE) AS number FROM typed t JOIN
     (SELECT path, arg_min(kind, id) AS type FROM typed WHERE topic LIKE '/voda/%' GROUP BY 1) g ON g.path = t.path) v ON v.id = l.id
   WHERE l.topic LIKE '/voda/%' GROUP BY l.id"""
 
@@ -139,6 +143,15 @@ KEYWORD_PARTS = f"""SELECT first_topic, list(part ORDER BY topic, pos)[1:3] AS c
   WHERE regexp_matches(part, '{TABLE_KEYWORDS}') GROUP BY 1"""
 
 
+MAPPED = f"""(VALUES {MAPPING}) m(group_id, topic)"""
+LOADED = f"""mapped AS (SELECT m.group_id, t.* FROM typed t JOIN {MAPPED} ON m.topic = t.topic),
+columns AS (SELECT group_id, path, arg_min(kind, id) AS type, min(id) AS first_seen_id FROM mapped GROUP BY 1, 2),
+cells AS (SELECT l.id, c.group_id, l.topic, c.path, c.type, t.text, CASE WHEN c.type = 'BIGINT' THEN {WHOLE} END AS whole,
+  CASE WHEN c.type = 'DOUBLE PRECISION' THEN TRY_CAST(t.text AS DOUBLE) END AS number
+  FROM landing l JOIN {MAPPED} ON m.topic = l.topic JOIN columns c ON c.group_id = m.group_id
+  LEFT JOIN mapped t ON t.id = l.id AND t.path = c.path)"""
+
+
 def on_leaves(sql: str) -> str:
     return PRELUDE.rstrip().removesuffix(",") + "\n" + sql
 
@@ -185,11 +198,13 @@ def statements() -> dict[str, str]:
         ),
         "wide_staging": on_leaves(WIDE),
         "conformed_values": on_leaves(
-            """SELECT id, path, type, number, CASE WHEN NOT numeric_column OR (text IS NOT NULL AND number IS NULL) THEN text END AS text,
-            numeric_column AND text IS NOT NULL AND number IS NULL AS rejected FROM conformed"""
+            """SELECT id, path, type, whole, number,
+            CASE WHEN NOT numeric_column OR (text IS NOT NULL AND coalesce(whole, number) IS NULL) THEN text END AS text,
+            numeric_column AND text IS NOT NULL AND coalesce(whole, number) IS NULL AS rejected FROM conformed"""
         ),
         "rejected_values": on_leaves(
-            "SELECT id, topic, path, type, text FROM conformed WHERE numeric_column AND text IS NOT NULL AND number IS NULL"
+            """SELECT id, topic, path, type, text FROM conformed
+            WHERE numeric_column AND text IS NOT NULL AND coalesce(whole, number) IS NULL"""
         ),
         "logical_topics": on_leaves(
             f"SELECT {logical(3)} AS logical_topic, count(*) AS messages, count(DISTINCT topic) AS topics FROM landing GROUP BY 1"
@@ -212,6 +227,21 @@ def statements() -> dict[str, str]:
             f"""SELECT group_id, count(l.id) AS rows, CASE WHEN count(l.id) > 0 THEN 'SUCCESS' ELSE 'EMPTY' END AS status
             FROM (VALUES {MAPPING}) m(group_id, topic) LEFT JOIN landing l ON m.topic = l.topic GROUP BY 1"""
         ),
+        "dynamic_rows": PRELUDE + LOADED + """SELECT group_id, id AS landing_id, topic, path, whole, number,
+            CASE WHEN type = 'TIMESTAMPTZ' THEN strftime(CAST(CAST(text AS TIMESTAMPTZ) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S')
+              WHEN type NOT IN ('BIGINT', 'DOUBLE PRECISION') THEN text END AS text FROM cells""",
+        "dynamic_columns": PRELUDE + LOADED + f"""SELECT group_id, path, type, first_seen_id,
+            CASE WHEN first_seen_id <= {FIRST_STEP} OR (SELECT min(m.id) FROM mapped m WHERE m.group_id = c.group_id) > {FIRST_STEP}
+              THEN CAST(0 AS INTEGER) ELSE CAST(1 AS INTEGER) END AS load FROM columns c""",
+        "dynamic_rejects": PRELUDE + LOADED + """SELECT group_id, id AS landing_id, topic, path, type, text FROM cells
+            WHERE type IN ('BIGINT', 'DOUBLE PRECISION') AND text IS NOT NULL AND coalesce(whole, number) IS NULL""",
+        "dynamic_results": PRELUDE + LOADED + f"""SELECT 'load_dynamic_staging' AS job_name, group_id,
+            CASE WHEN n = 0 THEN 'EMPTY' WHEN width > {NARROW} THEN 'ERROR' ELSE 'SUCCESS' END AS status,
+            CASE WHEN width <= {NARROW} THEN n ELSE 0 END AS rows,
+            CASE WHEN width > {NARROW} THEN width || ' columns, a table takes {NARROW}' END AS error_message
+            FROM (SELECT m.group_id, count(l.id) AS n, (SELECT count(*) FROM columns c WHERE c.group_id = m.group_id) AS width
+              FROM {MAPPED} LEFT JOIN landing l ON l.topic = m.topic GROUP BY m.group_id)
+            UNION ALL SELECT 'load_dynamic_staging', '{LAST_GROUP}', 'INTERRUPTED', 0, NULL""",
         "structure_signatures": PRELUDE + STRUCTURES + "SELECT topic, array_to_string(keys, ', ') AS keys FROM structures",
         "structure_report": PRELUDE + STRUCTURES + "SELECT * FROM reported",
         "structure_report_file": PRELUDE + STRUCTURES

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,9 @@ ISO_TIME = (
 # Fixed value: digits with at most one point.
 DIGITS = r"^\s*([0-9]+\.?[0-9]*|\.[0-9]+)\s*$"
 
+# A whole number written out.
+WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+
 # Column type -> Spark type of its values.
 SPARK_TYPES = {
     "BOOLEAN": "boolean",
@@ -93,7 +96,8 @@ def safe_types(leaves: DataFrame, group: str = "topic") -> DataFrame:
 
 def added_columns(found: DataFrame, known: DataFrame, group: str = "topic") -> DataFrame:
     """Columns a table does not have yet, with the type to create them with."""
-    return found.join(known.select(group, "path"), [group, "path"], "left_anti")
+    by = list(dict.fromkeys([group, "path"]))
+    return found.join(known.select(*by), by, "left_anti")
 
 
 def evolved(known: DataFrame, found: DataFrame, group: str = "topic") -> DataFrame:
@@ -117,8 +121,10 @@ def as_number(value: Column) -> Column:
 def conformed(value: Column, column_type_name: str) -> Column:
     """The value in its column's type, NULL when it does not fit."""
     if column_type_name == "BIGINT":
-        exact = F.when(P.kind(value) == "BIGINT", F.try_variant_get(value, "$", "bigint"))
-        return F.coalesce(exact, F.rint(as_number(value)).try_cast("bigint"))
+        # Digits alone are exact beyond 2^53; only fractions and powers go through a double.
+        exact = F.when(P.text_of(value).rlike(WHOLE), F.trim(P.text_of(value)).try_cast("bigint"))
+        other = F.when(~F.coalesce(P.text_of(value).rlike(WHOLE), F.lit(False)), as_number(value))
+        return F.coalesce(exact, F.rint(other).try_cast("bigint"))
     if column_type_name == "DOUBLE PRECISION":
         return as_number(value)
     if column_type_name == "BOOLEAN":
@@ -130,31 +136,35 @@ def conformed(value: Column, column_type_name: str) -> Column:
 
 
 def conform_leaves(leaves: DataFrame, columns: DataFrame, group: str = "topic") -> DataFrame:
-    """Leaves beside their column's type: the number of numeric columns, the text
-    of the others, and whether the value had to be dropped."""
+    """Leaves beside their column's type, with the value in the column of its kind:
+    ``whole`` for whole numbers, exactly, ``number`` for other numbers, ``text`` for the
+    rest; and whether the value had to be dropped because it does not fit."""
     # The catalogue is small and joined to every leaf; a shuffle by path would
     # put all leaves of a common path into one task.
     known = pinned(columns.select(group, "path", "type"))
     typed = leaves.join(broadcast_counted(known), [group, "path"])
-    numeric = F.col("type").isin("BIGINT", "DOUBLE PRECISION")
-    number = F.when(F.col("type") == "BIGINT", conformed(F.col("value"), "BIGINT").cast("double")).otherwise(
-        as_number(F.col("value"))
-    )
-    with_number = typed.withColumn("number", F.when(numeric, number))
-    return with_number.withColumn("rejected", numeric & F.col("text").isNotNull() & F.col("number").isNull()).withColumn(
-        "text", F.when(~numeric | F.col("rejected"), F.col("text"))
-    )
-
-
-def wide(rows: DataFrame, keep: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    value, kind = F.col("value"), F.col("type")
+    found = typed.withColumn("whole", F.when(kind == "BIGINT", conformed(value, "BIGINT")))
+    found = found.withColumn("number", F.when(kind == "DOUBLE PRECISION", as_number(value)))
+    fits = F.coalesce("whole", "number").isNotNull()
+    for name in ("BOOLEAN", "TIMESTAMPTZ"):
+        fits = fits | ((kind == name) & conformed(value, name).isNotNull())
+    plain = kind.isin("TEXT", "JSONB")
+    found = found.withColumn("rejected", F.col("text").isNotNull() & ~plain & ~fits)
+    numeric = kind.isin("BIGINT", "DOUBLE PRECISION")
+    return found.withColumn("text", F.when(~numeric | F.col("rejected"), F.col("text")))
+
+
+def wide(
+    rows: DataFrame, keep: Sequence[str], columns: Mapping[str, str], name: Callable[[str], str] = lambda path: path
+) -> DataFrame:
     """One row per message with one typed column per path; a projection, no shuffle.
 
     ``columns`` maps path to column type; a path a message lacks is NULL.
     """
     mapped = rows.withColumn("_map", F.map_from_entries("leaves"))
-    return mapped.select(
-        *keep, *[conformed(F.try_element_at("_map", F.lit(path)), kind).alias(path) for path, kind in sorted(columns.items())]
-    )
+    typed = [conformed(F.try_element_at("_map", F.lit(path)), kind).alias(name(path)) for path, kind in sorted(columns.items())]
+    return mapped.select(*keep, *typed)
 
 
 def column_types(columns: DataFrame) -> dict[str, str]:

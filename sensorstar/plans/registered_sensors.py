@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from sensorstar.functions import payload, text
 from sensorstar.operators import discovery, flatten, grouping, latency, similarity
+from sensorstar.plans.dynamic import DynamicStaging, stored_name
 from sensorstar.plans.registered import Query, scratch
-from sensorstar.session import literal
+from sensorstar.session import literal, prepare
 from sensorstar.sources import delimited, landing
 from sensorstar.sources.sample_landing import sensor_landing, table
 
@@ -25,9 +26,16 @@ GROUPS = {
     10: ["/Energo/DCUK/meter:0/har", "/Energo/DCUK/meter:1/har"],
     25: ["/voda/KA-1", "/voda/KA-2", "/ttndata/voda/eui.3"],
     26: ["/udp1881/0", "/udp1881/1", "/udp1881/2"],
+    30: ["/cez/mve/decin/0", "/cez/mve/decin/1"],
     99: ["/silent/topic"],
 }
 FUSED = (8, 10)
+# The dynamic load: ids of its first step, a group named last, and a width that some groups exceed.
+FIRST_STEP = 700
+LAST_GROUP = "status"
+NARROW = 6
+
+_staged: dict[tuple[str, str], DynamicStaging] = {}
 
 
 def tolerant_payloads(spark, sf_dir):
@@ -135,7 +143,7 @@ def _conformed(spark, sf_dir):
 
 
 def conformed_values(spark, sf_dir):
-    return _conformed(spark, sf_dir).select("id", "path", "type", "number", "text", "rejected")
+    return _conformed(spark, sf_dir).select("id", "path", "type", "whole", "number", "text", "rejected")
 
 
 def rejected_values(spark, sf_dir):
@@ -167,6 +175,69 @@ def group_results(spark, sf_dir):
     return grouping.group_results(sensor_landing(spark, sf_dir), grouping.manual_groups(spark, GROUPS, FUSED))
 
 
+# ---- the dynamic load ---------------------------------------------------------------
+
+
+def dynamic_staging(spark: SparkSession, sf_dir: str) -> DynamicStaging:
+    """All groups, loaded in two steps."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _staged:
+        groups = grouping.manual_groups(spark, GROUPS, FUSED)
+        tables = DynamicStaging(prepare(spark), scratch(spark, "dynamic"), groups).create()
+        messages = sensor_landing(spark, sf_dir)
+        tables.load(messages, up_to_id=FIRST_STEP)
+        tables.load(messages)
+        _staged[key] = tables
+    return _staged[key]
+
+
+def dynamic_rows(spark, sf_dir):
+    """Every cell of every table: whole numbers, other numbers and other values apart."""
+    tables, found = dynamic_staging(spark, sf_dir), None
+    for group in tables.names:
+        rows, kinds = tables.table(group), tables.columns(group)
+        cells = []
+        for path, kind in sorted(kinds.items()):
+            value, whole, number = F.col(stored_name(path)), kind == "BIGINT", kind == "DOUBLE PRECISION"
+            shown = F.date_format(value, "yyyy-MM-dd HH:mm:ss") if kind == "TIMESTAMPTZ" else value.cast("string")
+            cells.append(
+                F.struct(
+                    F.lit(path).alias("path"),
+                    (value if whole else F.lit(None)).cast("long").alias("whole"),
+                    (value if number else F.lit(None)).cast("double").alias("number"),
+                    (F.lit(None) if whole or number else shown).cast("string").alias("text"),
+                )
+            )
+        if cells:
+            one = rows.select(F.lit(group).alias("group_id"), "landing_id", "topic", F.inline(F.array(*cells)))
+            found = one if found is None else found.unionByName(one)
+    return found
+
+
+def dynamic_columns(spark, sf_dir):
+    return dynamic_staging(spark, sf_dir).catalogue()
+
+
+def dynamic_rejects(spark, sf_dir):
+    """Values that did not fit their column, read back from the stored rows."""
+    tables, found = dynamic_staging(spark, sf_dir), None
+    for group in tables.names:
+        one = tables.rejects(group).withColumn("group_id", F.lit(group))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def dynamic_results(spark, sf_dir):
+    """How a load of narrow tables ends for each group: loaded, silent, too wide, or not
+    reached before the load was stopped."""
+    groups = grouping.manual_groups(spark, {**GROUPS, LAST_GROUP: ["status"]}, FUSED)
+    tables = DynamicStaging(prepare(spark), scratch(spark, "dynamic"), groups, widest=NARROW).create()
+    asked = iter(range(len(tables.names)))
+    tables.load(sensor_landing(spark, sf_dir), stop=lambda: next(asked) == len(tables.names) - 1)
+    events = tables.run_events()
+    return events.select("job_name", F.col("topic").alias("group_id"), "status", F.col("rows_inserted").alias("rows"), "error_message")
+
+
 def _latest(spark, sf_dir):
     return landing.latest_payloads(sensor_landing(spark, sf_dir))
 
@@ -249,6 +320,6 @@ def sensor_queries() -> dict[str, Query]:
         shared_types, added_columns, batch_columns, wide_staging, conformed_values, rejected_values, logical_topics,
         topic_tables, cluster_tables, topic_groups, group_results, structure_signatures, structure_report,
         structure_report_file, similar_key_sets, fuzzy_clusters, latency_summary, throughput, refreshed_results,
-        throughput_pivot,
+        throughput_pivot, dynamic_rows, dynamic_columns, dynamic_rejects, dynamic_results,
     ]
     return {query.__name__: query for query in plain}

@@ -53,6 +53,12 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; one that is not there is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder: later reads see the same rows in
     the same partitions, also after an executor is lost."""

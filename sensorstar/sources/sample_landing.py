@@ -59,7 +59,8 @@ SENSOR_COLUMNS = {
       WHEN o_orderkey % 5 = 1 THEN '{"level":12.5,"battery":3,"extra":"e' || CAST(o_orderkey % 4 AS STRING) || '"}'
       ELSE '{"level":' || CAST(o_orderkey % 100 AS STRING) || ',"battery":"' || CAST(o_orderkey % 4 AS STRING) || '.5"}' END
     WHEN 5 THEN '[{"a":' || CAST(o_orderkey % 10 AS STRING) || '},{"a":2,"b":"x' || CAST(o_orderkey % 3 AS STRING) || '"}]'
-    WHEN 6 THEN '{"flow":' || CAST(o_orderkey % 1000 AS STRING) || ',"unit":"m3","level":1}'
+    WHEN 6 THEN '{"flow":' || CASE WHEN o_orderkey % 11 = 0 THEN CAST(9007199254740993 + 2 * o_orderkey AS STRING)
+      WHEN o_orderkey % 13 = 0 THEN '"n/a"' ELSE CAST(o_orderkey % 1000 AS STRING) END || ',"unit":"m3","level":1}'
     ELSE 'offline ' || CAST(o_orderkey % 6 AS STRING) END END""",
 }
 
