@@ -333,6 +333,73 @@ guarded_keys AS (SELECT dimension, member, row_number() OVER (PARTITION BY dimen
   FROM (SELECT DISTINCT * FROM guarded_pairs WHERE member IS NOT NULL))
 """
 
+DAYS = 20
+MINUTE = "date_diff('minute', TIMESTAMP '2024-01-01', date_trunc('minute', original_time))"
+
+
+def trimmed(column: str) -> str:
+    return f"nullif(trim({column}), '')"
+
+
+def as_is(column: str) -> str:
+    return f"nullif({column}, '')"
+
+
+def inside(first: int, minutes: int) -> str:
+    return f"CASE WHEN {MINUTE} BETWEEN 0 AND {minutes - 1} THEN CAST({MINUTE} + {first} AS INTEGER) ELSE -1 END"
+
+
+# Per variant, stated here anew: text of members, city, number, unknown key and labels, time key, velocity,
+# kept rows, calendar key, full date, weekday, minutes of the calendar and the unknown time.
+WHOLE = "TRY_CAST({} AS INTEGER)"
+SUNDAY, ISO_DAY = "CAST(dayofweek(ts) + 1 AS INTEGER)", "CAST(isodow(ts) AS INTEGER)"
+VARIANTS = {
+    "mssql": (trimmed, CITY, WHOLE.format, -1, ("UNKNOWN", "UNK", "-999"), inside(1, DAYS * 1440 - 1439), "velocity",
+              "velocity IS NOT NULL", "n + 1", "ts", SUNDAY, DAYS * 1440 - 1439, None),
+    "mariadb": (trimmed, CITY, WHOLE.format, -1, ("UNKNOWN", "UNK", "-999"), inside(1104071, DAYS * 1440), "velocity",
+                "true", "n + 1104071", "ts", SUNDAY, DAYS * 1440, "1900, 1, 1, 1, 0, 0"),
+    "clickhouse": (as_is, CITY, truthy, 4294967295, ("UNKNOWN", "UNKNOWN", "UNKNOWN"),
+                   "CAST(epoch(date_trunc('second', original_time)) AS BIGINT)", "coalesce(velocity, 0)",
+                   "true", "epoch(ts)", "ts", ISO_DAY, DAYS * 1440, None),
+    "postgres": (trimmed, "nullif(trim(split_part(topic, '/', 2)), '')", WHOLE.format, -1, ("Unknown", "Unknown", "Unknown"),
+                 inside(1, DAYS * 1440), "velocity", "true", "n + 1", "date_trunc('day', ts)", ISO_DAY, DAYS * 1440,
+                 "-1, -1, -1, -1, -1, -1"),
+}
+
+
+def variant(name: str) -> dict[str, str]:
+    clean, city, number_of, unknown, (label, country, vehicle), time_key, velocity, kept, key, full_date, weekday, minutes, none = VARIANTS[name]
+    unknown_rows = ", ".join(
+        f"('{d}', '{country if d == 'country' else vehicle if d == 'vehicle_class' else label}', {unknown})" for d in DIMENSIONS
+    )
+    unknown_time = f"UNION ALL SELECT -1, TIMESTAMP '1900-01-01', {none}" if none else ""
+    names = {"sensor_key": "s", "detection_type_key": "t", "lp_key": "p", "country_key": "o", "vehicle_class_key": "v", "city_key": "c"}
+    members = {"s": "sensor", "t": "detection_type", "p": "plate", "o": "country", "v": "vehicle_class", "c": "city"}
+    joins = " ".join(
+        f"LEFT JOIN v_keys {a} ON {a}.dimension = '{d}' AND {a}.member = r.{d} AND trim(r.{d}) <> ''" for a, d in members.items()
+    )
+    prelude = PRELUDE + f""", v_rows AS (SELECT id AS landing_id, time AS original_time, {city} AS city, {clean("detectionType")} AS detection_type,
+      {clean("lp")} AS plate, {clean("sensor")} AS sensor, CAST({number_of("vehClass")} AS VARCHAR) AS vehicle_class,
+      {clean("ilpc")} AS country, {number_of("velocity")} AS velocity FROM fields),
+    v_pairs AS ({stacked({d: d for d in DIMENSIONS}, "v_rows")}),
+    v_keys AS (SELECT dimension, member, row_number() OVER (PARTITION BY dimension ORDER BY member) AS key
+      FROM (SELECT DISTINCT * FROM v_pairs WHERE member IS NOT NULL)),
+    v_facts AS (SELECT landing_id AS camera_detection_key, {time_key} AS time_key,
+      {", ".join(f"coalesce({a}.key, {unknown}) AS {n}" for n, a in names.items())},
+      CAST({velocity} AS DOUBLE) AS velocity, original_time AS detection_time FROM v_rows r {joins} WHERE {kept}),
+    v_calendar AS (SELECT CAST({key} AS INTEGER) AS time_key, CAST({full_date} AS TIMESTAMP) AS full_date, CAST(year(ts) AS INTEGER) AS year_num,
+      CAST(month(ts) AS INTEGER) AS month_num, CAST(day(ts) AS INTEGER) AS day_num, {weekday} AS day_of_week_num,
+      CAST(hour(ts) AS INTEGER) AS hour_num, CAST(minute(ts) AS INTEGER) AS minute_num
+      FROM (SELECT n, TIMESTAMP '2024-01-01' + to_minutes(n) AS ts FROM range({minutes}) g(n)) {unknown_time})
+    """
+    return {
+        f"fact_rows_{name}": prelude + f"SELECT {', '.join(FACT_COLUMNS)} FROM v_facts",
+        f"member_rows_{name}": prelude + f"SELECT * FROM v_keys UNION ALL SELECT * FROM (VALUES {unknown_rows})",
+        f"minutes_{name}": prelude + """SELECT f.time_key, full_date, year_num, month_num, day_num, day_of_week_num, hour_num, minute_num,
+          detections FROM (SELECT time_key, count(*) AS detections FROM v_facts GROUP BY 1) f LEFT JOIN v_calendar c ON c.time_key = f.time_key""",
+    }
+
 
 def camera_oracles() -> dict[str, str]:
-    return {name: PRELUDE + (GUARDED if "guarded" in name and "upsert" not in name else "") + sql for name, sql in STATEMENTS.items()}
+    found = {name: sql for of in VARIANTS for name, sql in variant(of).items()}
+    return found | {name: PRELUDE + (GUARDED if "guarded" in name and "upsert" not in name else "") + sql for name, sql in STATEMENTS.items()}

@@ -38,14 +38,20 @@ def minute_ordinal(ts: Column, start: dt.date) -> Column:
     return day_ordinal(ts, start) * MINUTES_PER_DAY + F.hour(ts) * 60 + F.minute(ts)
 
 
-def time_key(ts: Column, start: dt.date = CALENDAR_START, end: dt.date = CALENDAR_END) -> Column:
+def time_key(
+    ts: Column,
+    start: dt.date = CALENDAR_START,
+    end: dt.date = CALENDAR_END,
+    first_key: int = FIRST_TIME_KEY,
+    missing_minutes: int = 0,
+) -> Column:
     """Key of the calendar minute of ``ts``, or the unknown key outside it.
 
     The calendar numbers its minutes in order, so the key needs no join.
     """
     ordinal = minute_ordinal(ts, start)
-    inside = ordinal.between(0, (end - start).days * MINUTES_PER_DAY - 1)
-    return F.when(inside, (ordinal + FIRST_TIME_KEY).cast("int")).otherwise(F.lit(UNKNOWN_KEY))
+    inside = ordinal.between(0, (end - start).days * MINUTES_PER_DAY - 1 - missing_minutes)
+    return F.when(inside, (ordinal + first_key).cast("int")).otherwise(F.lit(UNKNOWN_KEY))
 
 
 def unix_seconds(ts: Column) -> Column:

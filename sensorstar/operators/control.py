@@ -9,9 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorstar.operators.dimensions import latest_per_key
-from sensorstar.operators.numbering import running_total
-from sensorstar.session import broadcast_counted
+from sensorstar.operators.numbering import running_totals
 
 CONTROL_SCHEMA = (
     "topic string, process_step int, last_loaded_id long, full_load_done boolean, last_update timestamp"
@@ -37,19 +35,26 @@ def high_water_marks_like(control: DataFrame, pattern: str) -> DataFrame:
     )
 
 
+def _newest(marks: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
+    """The newest mark of every key. Marks are narrow; copies collapse in each task first."""
+    rest = [c for c in marks.columns if c not in keys]
+    newest = F.max_by(F.struct(*rest), F.struct(*version)).alias("_row")
+    return marks.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*marks.columns)
+
+
 def guarded_upsert(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """A mark only ever moves forward."""
-    return latest_per_key(current.unionByName(incoming), ["topic"], ["last_loaded_id", "last_update"])
+    return _newest(current.unionByName(incoming), ["topic"], ["last_loaded_id", "last_update"])
 
 
 def plain_upsert(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """The newest update wins, also when its mark is lower."""
-    return latest_per_key(current.unionByName(incoming), ["topic"], ["last_update", "last_loaded_id"])
+    return _newest(current.unionByName(incoming), ["topic"], ["last_update", "last_loaded_id"])
 
 
 def append_upsert(history: DataFrame) -> DataFrame:
     """Current marks of an append-only control table."""
-    return latest_per_key(history, ["topic", "process_step"], ["last_update", "last_loaded_id"])
+    return _newest(history, ["topic", "process_step"], ["last_update", "last_loaded_id"])
 
 
 def resume_range(staging: DataFrame, mark: int, limit: int) -> DataFrame:
@@ -85,10 +90,8 @@ def progress(batches: DataFrame) -> DataFrame:
 
     ``batches`` has ``job, batch_no, rows, seconds``.
     """
-    done = running_total(batches, ["job"], ["batch_no"], "rows", "rows_so_far")
-    spent = running_total(batches.select("job", "batch_no", "seconds"), ["job"], ["batch_no"], "seconds", "seconds_so_far")
-    totals = batches.groupBy("job").agg(F.sum("rows").alias("_total"))
-    both = done.join(spent.select("job", "batch_no", "seconds_so_far"), ["job", "batch_no"]).join(broadcast_counted(totals), "job")
+    amounts = {"rows": "rows_so_far", "seconds": "seconds_so_far"}
+    both = running_totals(batches.select("job", "batch_no", "rows", "seconds"), ["job"], ["batch_no"], amounts, {"rows": "_total"})
     rate = F.col("rows_so_far") / F.col("seconds_so_far")
     return both.select(
         "job",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from sensorstar.functions import timeparts
 from sensorstar.operators.numbering import number_rows_within
 from sensorstar.plans.profiles import CANON, Profile
-from sensorstar.session import literal, literal_rows
+from sensorstar.session import broadcast_up_to, literal, literal_rows, pinned
 
 # dimension -> staging column that holds its natural key
 NATURAL_KEYS = {
@@ -33,10 +35,17 @@ DIMENSION_COLUMNS = {
 }
 
 
-def natural_key(name: str) -> Column:
-    """The text a staging row is looked up by in dimension ``name``."""
-    column = F.col(NATURAL_KEYS[name])
-    return F.nullif(F.trim(column.cast("string")), F.lit(""))
+def natural_key(name: str, members: str = "trimmed") -> Column:
+    """The text that makes a member of dimension ``name`` of a staging row. Members that
+    are taken as they are may hold blanks; numbers have none."""
+    text = F.col(NATURAL_KEYS[name]).cast("string")
+    return F.nullif(F.trim(text) if members == "trimmed" else text, F.lit(""))
+
+
+def lookup_key(name: str, members: str = "trimmed") -> Column:
+    """The text a staging row is looked up by: the same, but a blank one finds nothing."""
+    key = natural_key(name, members)
+    return key if members == "trimmed" else F.when(F.trim(key) != "", key)
 
 
 def distinct_members(staging: DataFrame) -> DataFrame:
@@ -44,7 +53,7 @@ def distinct_members(staging: DataFrame) -> DataFrame:
     return staging.select(*[natural_key(d).alias(d) for d in NATURAL_KEYS]).distinct()
 
 
-def member_counts(staging: DataFrame) -> DataFrame:
+def member_counts(staging: DataFrame, members: str = "trimmed") -> DataFrame:
     """``(dimension, member, uses)`` of all six dimensions from one scan.
 
     Every task counts its own members first, so the shuffle carries distinct
@@ -52,7 +61,7 @@ def member_counts(staging: DataFrame) -> DataFrame:
     """
     pairs = ", ".join(f"'{d}', _{d}" for d in NATURAL_KEYS)
     return (
-        staging.select(*[natural_key(d).alias(f"_{d}") for d in NATURAL_KEYS])
+        staging.select(*[natural_key(d, members).alias(f"_{d}") for d in NATURAL_KEYS])
         .selectExpr(f"stack({len(NATURAL_KEYS)}, {pairs}) as (dimension, member)")
         .where("member is not null")
         .groupBy("dimension", "member")
@@ -122,9 +131,10 @@ def unknown_members(spark: SparkSession, profile: Profile = CANON) -> DataFrame:
     return literal_rows(spark, "dimension string, member string, key long", rows)
 
 
-def unknown_time(spark: SparkSession) -> DataFrame:
-    values = (timeparts.UNKNOWN_KEY, dt.datetime(1900, 1, 1), 1900, 1, 1, 1, 0, 0)
-    return literal_rows(spark, CALENDAR_SCHEMA, [values])
+def unknown_time(spark: SparkSession, profile: Profile = CANON) -> DataFrame:
+    """The calendar row of times outside the calendar; a variant may have none."""
+    values = [(timeparts.UNKNOWN_KEY, *profile.unknown_time)] if profile.unknown_time else []
+    return literal_rows(spark, CALENDAR_SCHEMA, values)
 
 
 def with_unknown(dimension: DataFrame, unknown: DataFrame, key: str) -> DataFrame:
@@ -138,29 +148,34 @@ CALENDAR_SCHEMA = (
 )
 
 
+def first_time_key(keys: str) -> int:
+    return 1 if keys == "identity" else timeparts.FIRST_TIME_KEY
+
+
 def calendar(
     spark: SparkSession,
     start: dt.date = timeparts.CALENDAR_START,
     end: dt.date = timeparts.CALENDAR_END,
     keys: str = "ordinal",
     weekdays: str = "iso",
+    full_date: str = "minute",
+    missing_minutes: int = 0,
 ) -> DataFrame:
-    """One row per minute from ``start`` up to ``end`` (exclusive).
+    """One row per minute from ``start`` up to ``end`` (exclusive), without the
+    ``missing_minutes`` before the end.
 
-    ``keys`` is ``ordinal`` (first key plus position) or ``unix`` (seconds);
-    ``weekdays`` is ``iso`` (1 = Monday) or ``sunday`` (1 = Sunday).
+    ``keys`` is ``ordinal`` (first key plus position), ``identity`` (from 1) or ``unix``
+    (seconds); ``weekdays`` is ``iso`` (1 = Monday) or ``sunday`` (1 = Sunday);
+    ``full_date`` is the ``minute`` or its ``day``.
     """
-    minutes = spark.range((end - start).days * timeparts.MINUTES_PER_DAY)
-    full_date = literal(dt.datetime.combine(start, dt.time())) + F.make_dt_interval(
-        mins=F.col("id").cast("int")
-    )
-    dated = minutes.select(F.col("id"), full_date.alias("full_date"))
-    at = F.col("full_date")
-    key = timeparts.unix_seconds(at).cast("int") if keys == "unix" else F.col("id") + timeparts.FIRST_TIME_KEY
+    minutes = spark.range((end - start).days * timeparts.MINUTES_PER_DAY - missing_minutes)
+    minute = literal(dt.datetime.combine(start, dt.time())) + F.make_dt_interval(mins=F.col("id").cast("int"))
+    at = F.col("_at")
+    key = timeparts.unix_seconds(at) if keys == "unix" else F.col("id") + first_time_key(keys)
     weekday = F.dayofweek(at) if weekdays == "sunday" else timeparts.iso_weekday(at)
-    return dated.select(
+    return minutes.select(F.col("id"), minute.alias("_at")).select(
         key.cast("int").alias("time_key"),
-        at,
+        (timeparts.truncated(at, "day") if full_date == "day" else at).alias("full_date"),
         F.year(at).alias("year_num"),
         F.month(at).alias("month_num"),
         F.dayofmonth(at).alias("day_num"),
@@ -170,12 +185,37 @@ def calendar(
     )
 
 
+def profile_calendar(spark: SparkSession, profile: Profile, start: dt.date, end: dt.date) -> DataFrame:
+    """The calendar of a variant, with its row for unknown times."""
+    minutes = calendar(spark, start, end, profile.time_keys, profile.weekdays, profile.full_date, profile.missing_minutes)
+    return with_unknown(minutes, unknown_time(spark, profile), "time_key")
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """The newest row of every key. Copies collapse inside each task first, so a
-    key with very many copies sends one row per task."""
-    rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*version)).alias("_row")
-    return df.groupBy(*keys).agg(newest).select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+    """The newest row of every key; of equal ones the largest. Nulls are a key like others.
+
+    Keys and versions alone are aggregated, without the rows. Keys with one row pass
+    through as they are. The others meet their newest version, which is broadcast while
+    there are few, so that whole rows are neither sorted nor shuffled.
+    """
+    newest = F.max(F.struct(*version)).alias("_newest")
+    narrow = df.select(*dict.fromkeys([*keys, *version])).groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
+    several = narrow.agg(newest, F.count("*").alias("_rows")).where(F.col("_rows") > 1).drop("_rows")
+    several = pinned(several)
+    several = broadcast_up_to(several, several.count())
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    alone = df.join(several, same, "left_anti")
+    latest = df.join(several, same & F.struct(*version).eqNullSafe(F.col("_newest"))).select(*df.columns)
+    return alone.unionByName(largest_per_key(latest, keys))
+
+
+def largest_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One of the few rows that a key has left, by hash."""
+    rest = [c for c in rows.columns if c not in keys]
+    if not rest:
+        return rows.distinct()
+    found = rows.groupBy(*keys).agg(F.array_max(F.collect_set(F.struct(*rest))).alias("_row"))
+    return found.select(*keys, "_row.*").select(*rows.columns)
 
 
 def active_cities(cities: DataFrame) -> DataFrame:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorstar.functions import numbers, timeparts
-from sensorstar.operators.dimensions import DIMENSION_COLUMNS, natural_key
+from sensorstar.operators.dimensions import DIMENSION_COLUMNS, first_time_key, lookup_key, natural_key
 from sensorstar.operators.numbering import number_rows
-from sensorstar.session import broadcast_up_to
+from sensorstar.plans.profiles import CANON, Profile
+from sensorstar.session import broadcast_up_to, literal_rows
 
 FACT_SCHEMA = (
     "camera_detection_key long, time_key int, sensor_key long, detection_type_key long, lp_key long, "
@@ -24,61 +26,99 @@ KEY_COLUMNS = {d: key for d, (key, _) in DIMENSION_COLUMNS.items()}
 # the table of hot members that is broadcast.
 HOT_SHARE = 1000
 HOT_ROWS = 1_000_000
-SALTS = 64
+# Rows of a hot member that one task takes.
+TASK_ROWS = 1_000_000
+# Dimensions of at most this many members are broadcast by the planner.
+SMALL_DIMENSION = 100_000
 
 
-def hot_members(counts: DataFrame, dimension: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Members that hold a large share of the rows (at most ``HOT_SHARE`` of them)."""
-    uses = counts.where(F.col("dimension") == dimension)
-    total = uses.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
-    return uses.where((F.col("uses") * HOT_SHARE >= total) & (F.col("uses") >= hot_rows)).select("member")
+def hot_members(
+    counts: DataFrame, dimension: str | None = None, hot_rows: int = HOT_ROWS, task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """``(dimension, member, salts)``: members of one or all dimensions that hold a large
+    share of its rows (at most ``HOT_SHARE`` of them), and into how many parts each is cut."""
+    uses = counts if dimension is None else counts.where(F.col("dimension") == dimension)
+    # one row per dimension
+    totals = uses.groupBy("dimension").agg(F.sum("uses").alias("_total"))
+    hot = uses.join(F.broadcast(totals), "dimension")
+    hot = hot.where((F.col("uses") * HOT_SHARE >= F.col("_total")) & (F.col("uses") >= hot_rows))
+    return hot.select("dimension", "member", F.ceil(F.col("uses") / task_rows).cast("int").alias("salts"))
 
 
 def salted_lookup(
     rows: DataFrame, members: DataFrame, hot: DataFrame, member: Column, key: str, spread_by: str
 ) -> DataFrame:
-    """Left join to a large dimension whose hot members are split over tasks.
+    """Left join to a large dimension whose hot members ``(member, salts)`` are split over
+    tasks.
 
-    Rows of a hot member, and rows without a member, get one of ``SALTS`` salts;
-    hot members are repeated once per salt. Other rows keep salt 0.
+    A row of a hot member gets one of the member's salts; the member is repeated once per
+    salt, so each task gets about as many rows as the salts were measured for. Rows without
+    a member meet nothing and spread over all tasks. Other rows keep salt 0.
     """
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
-    marked = hot.select(F.col("member").alias("_member"), F.lit(True).alias("_hot"))
+    spread = F.xxhash64(spread_by)
+    marked = hot.select(F.col("member").alias("_member"), F.col("salts").alias("_salts"))
     left = rows.withColumn("_member", member).join(F.broadcast(marked), "_member", "left")
-    left = left.withColumn("_salt", F.when(F.col("_member").isNull() | F.col("_hot"), salt).otherwise(F.lit(0)))
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(F.col("_member").isNull(), spread).otherwise(F.pmod(spread, F.coalesce("_salts", F.lit(1)).cast("long")))
+    left = left.withColumn("_salt", salt)
+    salts = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1)
     right = (
         members.select(F.col("member").alias("_member"), F.col("key").alias(key))
         .join(F.broadcast(marked), "_member", "left")
         .select("_member", key, F.explode(salts).alias("_salt"))
     )
-    return left.join(right, ["_member", "_salt"], "left").drop("_member", "_salt", "_hot")
+    return left.join(right, ["_member", "_salt"], "left").drop("_member", "_salt", "_salts")
+
+
+def fact_schema(profile: Profile = CANON) -> str:
+    """Seconds since 1970 need more room than minutes."""
+    return FACT_SCHEMA.replace("time_key int", "time_key long") if profile.time_keys == "unix" else FACT_SCHEMA
+
+
+def profile_time_key(ts: Column, profile: Profile, start: dt.date, end: dt.date) -> Column:
+    if profile.time_keys == "unix":
+        return timeparts.unix_seconds(ts)
+    return timeparts.time_key(ts, start, end, first_time_key(profile.time_keys), profile.missing_minutes)
+
+
+def profile_velocity(velocity: Column, profile: Profile) -> Column:
+    return numbers.number_or_zero(velocity) if profile.velocity == "zero" else velocity.cast("double")
+
+
+def unloadable(staging: DataFrame, profile: Profile) -> DataFrame:
+    """Staging rows that cannot become facts: those without a velocity that is required."""
+    return staging.where(F.col("velocity").isNull() & F.lit(profile.velocity == "required"))
 
 
 def star_lookup(
     staging: DataFrame,
     members: Mapping[str, DataFrame],
-    hot_plates: DataFrame,
-    unknown_key: int = -1,
+    hot: DataFrame,
+    profile: Profile = CANON,
     start: dt.date = timeparts.CALENDAR_START,
     end: dt.date = timeparts.CALENDAR_END,
+    split: Collection[str] = ("plate",),
 ) -> DataFrame:
-    """Fact rows: every staging row with its seven keys; a missing member gets
-    the unknown key. The minute key is arithmetic over the calendar's range and
-    needs no join."""
+    """Fact rows by the rules of ``profile``: every staging row with its seven keys; a
+    missing member, and key 0, gets the unknown key. The minute key is arithmetic over the
+    calendar's range and needs no join. The hot members ``(dimension, member, salts)`` of
+    the dimensions in ``split`` are cut into parts."""
     rows = staging
+    if profile.velocity == "required":
+        rows = rows.where(F.col("velocity").isNotNull())
     for name, key in KEY_COLUMNS.items():
-        if name == "plate":
-            rows = salted_lookup(rows, members[name], hot_plates, natural_key(name), key, "landing_id")
+        text = lookup_key(name, profile.members)
+        if name in split:
+            rows = salted_lookup(rows, members[name], hot.where(F.col("dimension") == name), text, key, "landing_id")
         else:
             right = members[name].select(F.col("member").alias("_member"), F.col("key").alias(key))
-            rows = rows.join(right, natural_key(name) == F.col("_member"), "left").drop("_member")
-    keys = [F.coalesce(F.col(k), F.lit(unknown_key).cast("long")).alias(k) for k in KEY_COLUMNS.values()]
+            rows = rows.join(right, text == F.col("_member"), "left").drop("_member")
+    unknown = F.lit(profile.unknown_key).cast("long")
+    keys = [F.coalesce(F.nullif(F.col(k), F.lit(0)), unknown).alias(k) for k in KEY_COLUMNS.values()]
     return rows.select(
         F.col("landing_id").alias("camera_detection_key"),
-        timeparts.time_key(F.col("original_time"), start, end).alias("time_key"),
+        profile_time_key(F.col("original_time"), profile, start, end).alias("time_key"),
         *keys,
-        F.col("velocity").cast("double").alias("velocity"),
+        profile_velocity(F.col("velocity"), profile).alias("velocity"),
         F.col("original_time").alias("detection_time"),
     ).select(*FACT_COLUMNS)
 
@@ -189,20 +229,21 @@ def reconcile(staging: DataFrame, facts: DataFrame, lowest: int, size: int) -> D
 def orphan_keys(facts: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Per dimension: fact rows whose key has no dimension row.
 
-    ``dimensions`` maps a key column to its dimension. Facts are counted per key
-    before the anti join, so that the join sees distinct keys only.
+    ``dimensions`` maps a key column to its dimension. The keys of all columns are stacked
+    and counted in one scan of the facts, each task counting its own first; one anti join
+    then sees distinct keys only.
     """
-    found = None
-    for key, dimension in dimensions.items():
-        per_key = facts.groupBy(F.col(key).cast("long").alias("key")).agg(F.count("*").alias("rows"))
-        known = dimension.select(F.col(key).cast("long").alias("key"))
-        orphans = (
-            per_key.join(known, "key", "left_anti")
-            .agg(F.count("*").alias("orphan_keys"), F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows"))
-            .select(F.lit(key).alias("key_column"), "orphan_keys", "orphan_rows")
-        )
-        found = orphans if found is None else found.unionByName(orphans)
-    return found
+    pairs = ", ".join(f"'{key}', CAST({key} AS BIGINT)" for key in dimensions)
+    stacked = facts.selectExpr(f"stack({len(dimensions)}, {pairs}) as (key_column, key)")
+    per_key = stacked.groupBy("key_column", "key").agg(F.count("*").alias("rows"))
+    known = reduce(
+        DataFrame.unionByName,
+        [rows.select(F.lit(key).alias("key_column"), F.col(key).cast("long").alias("key")) for key, rows in dimensions.items()],
+    )
+    orphans = per_key.join(known, ["key_column", "key"], "left_anti")
+    counted = orphans.groupBy("key_column").agg(F.count("*").alias("orphan_keys"), F.sum("rows").alias("orphan_rows"))
+    columns = literal_rows(facts.sparkSession, "key_column string", [(key,) for key in dimensions])
+    return columns.join(F.broadcast(counted), "key_column", "left").na.fill(0, ["orphan_keys", "orphan_rows"])
 
 
 def duplicate_members(members: DataFrame) -> DataFrame:

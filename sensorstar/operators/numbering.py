@@ -7,7 +7,7 @@ rows before it; that offset table has one row per partition.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,24 +47,35 @@ def number_rows_within(df: DataFrame, groups: Sequence[str], order: Sequence[str
 
 
 def running_total(df: DataFrame, groups: Sequence[str], order: Sequence[str], amount: str, total: str) -> DataFrame:
-    """``sum(amount) over (partition by groups order by …)`` up to each row.
+    """``sum(amount) over (partition by groups order by …)`` up to each row."""
+    return running_totals(df, groups, order, {amount: total})
+
+
+def running_totals(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], amounts: Mapping[str, str], wholes: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The same for several amounts at once, from one sort; ``wholes`` names columns for
+    the sum of an amount over its whole group.
 
     ``groups`` and ``order`` together must be unique. A group may span many
     partitions; what earlier partitions hold of it is added as an offset.
     """
-    keys = [*groups, *order]
+    keys, wholes = [*groups, *order], wholes or {}
     fixed = pinned(df.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn(
         "_part", F.spark_partition_id()
     )
-    sums = fixed.groupBy(*groups, "_part").agg(F.sum(amount).alias("_sum"))
-    earlier = sums.select(*groups, "_part", _before("_sum", Window.partitionBy(*groups).orderBy("_part")).alias("_offset"))
+    summed = dict.fromkeys([*amounts, *wholes])
+    sums = fixed.groupBy(*groups, "_part").agg(*[F.sum(amount).alias(f"_sum_{amount}") for amount in summed])
+    in_order, everything = Window.partitionBy(*groups).orderBy("_part"), Window.partitionBy(*groups)
+    offsets = [_before(f"_sum_{amount}", in_order).alias(f"_offset_{amount}") for amount in amounts]
+    whole = [F.sum(f"_sum_{amount}").over(everything).alias(name) for amount, name in wholes.items()]
+    earlier = sums.select(*groups, "_part", *offsets, *whole)
     local = Window.partitionBy("_part", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        fixed.withColumn(total, F.sum(amount).over(local))
-        .join(earlier, [*groups, "_part"])
-        .withColumn(total, F.col(total) + F.col("_offset"))
-        .drop("_part", "_offset")
-    )
+    for amount, total in amounts.items():
+        fixed = fixed.withColumn(total, F.sum(amount).over(local))
+    joined = fixed.join(earlier, [*groups, "_part"])
+    joined = joined.withColumns({total: F.col(total) + F.col(f"_offset_{amount}") for amount, total in amounts.items()})
+    return joined.drop("_part", *[f"_offset_{amount}" for amount in amounts])
 
 
 def _before(amount: str, window: Window) -> Column:

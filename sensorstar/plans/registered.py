@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sensorstar.functions import numbers, text, timeparts
 from sensorstar.operators import control, dimensions, facts, staging
 from sensorstar.plans import analytics, semantic
-from sensorstar.plans.profiles import CLICKHOUSE
+from sensorstar.plans.profiles import CANON, CLICKHOUSE, PROFILES, Profile
 from sensorstar.plans.semantic import Filter
 from sensorstar.plans.warehouse import Warehouse
 from sensorstar.session import literal, pinned, prepare, shared_folder
@@ -30,8 +30,9 @@ CAMERA_PATTERN = "/Bilina/kamery/camea/%"
 ALL_TOPICS = "%"
 FIRST_DAY_END = dt.datetime(2024, 1, 2)
 BATCH = 500
+PROFILE_END = dt.date(2024, 1, 21)
 
-_warehouses: dict[tuple[str, str], Warehouse] = {}
+_warehouses: dict[tuple[str, ...], Warehouse] = {}
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -301,6 +302,36 @@ def _members_by_name(members):
     return {d: members.where(F.col("dimension") == d).select("member", "key") for d in dimensions.NATURAL_KEYS}
 
 
+def profile_warehouse(spark: SparkSession, sf_dir: str, profile: Profile) -> Warehouse:
+    """A warehouse by the rules of a variant, whose calendar ends before the messages do."""
+    key = (spark.sparkContext.applicationId, sf_dir, profile.name)
+    if key not in _warehouses:
+        root = scratch(spark, f"warehouse-{profile.name}")
+        warehouse = Warehouse(prepare(spark), root, profile, end=PROFILE_END).create()
+        warehouse.load(camera_landing(spark, sf_dir), ALL_TOPICS)
+        _warehouses[key] = warehouse
+    return _warehouses[key]
+
+
+def fact_rows_of(profile: Profile) -> Query:
+    return lambda spark, sf_dir: profile_warehouse(spark, sf_dir, profile).facts().drop("week_bucket")
+
+
+def member_rows_of(profile: Profile) -> Query:
+    return lambda spark, sf_dir: profile_warehouse(spark, sf_dir, profile).members()
+
+
+def minutes_of(profile: Profile) -> Query:
+    """Detections per time key beside the variant's calendar row, where it has one."""
+
+    def run(spark, sf_dir):
+        warehouse = profile_warehouse(spark, sf_dir, profile)
+        per_key = warehouse.facts().groupBy("time_key").agg(F.count("*").alias("detections"))
+        return per_key.join(warehouse.calendar(), "time_key", "left")
+
+    return run
+
+
 def inner_lookup(spark, sf_dir):
     warehouse = loaded_warehouse(spark, sf_dir)
     return facts.star_lookup_inner(warehouse.staging(), _members_by_name(warehouse.members()), warehouse.calendar())
@@ -311,7 +342,7 @@ def salted_plate_lookup(spark, sf_dir):
     warehouse = loaded_warehouse(spark, sf_dir)
     rows = warehouse.staging().select("landing_id", "lp")
     plates = _members_by_name(warehouse.members())["plate"]
-    hot = facts.hot_members(dimensions.member_counts(warehouse.staging()), "plate", hot_rows=1)
+    hot = facts.hot_members(dimensions.member_counts(warehouse.staging()), "plate", hot_rows=1, task_rows=100)
     return facts.salted_lookup(rows, plates, hot, dimensions.natural_key("plate"), "lp_key", "landing_id")
 
 
@@ -600,6 +631,11 @@ def camera_queries() -> dict[str, Query]:
         run_monitor, control_monitor, staging_monitor,
     ]
     found: dict[str, Query] = {query.__name__: query for query in plain}
+    for profile in PROFILES.values():
+        if profile != CANON:
+            found[f"fact_rows_{profile.name}"] = fact_rows_of(profile)
+            found[f"member_rows_{profile.name}"] = member_rows_of(profile)
+            found[f"minutes_{profile.name}"] = minutes_of(profile)
     found.update({f"measure_{m.name}": measure_query(m.name) for m in semantic.MEASURES})
     found.update({f"by_{d.name}": dimension_query(d.name) for d in semantic.DIMENSIONS})
     found.update({f"per_{grain}": grain_query(grain) for grain in ("minute", "hour", "day", "week", "month", "quarter", "year")})

@@ -38,6 +38,7 @@ class LoadReport:
     loaded: int
     new_members: int
     last_id: int
+    rejected: int = 0
 
 
 class Warehouse:
@@ -55,6 +56,7 @@ class Warehouse:
         self.root = root
         self.profile = profile
         self.start, self.end = start, end
+        self.fact_schema = facts.fact_schema(profile)
         self._loads: int | None = None
         # Tables of finished loads never change, so their file lists are kept.
         self._frames: dict[tuple[str, int], DataFrame] = {}
@@ -67,8 +69,7 @@ class Warehouse:
     def create(self) -> "Warehouse":
         """Empty tables, the calendar and the unknown members."""
         self._empty("runs", control.RUN_SCHEMA)
-        minutes = dimensions.calendar(self.spark, self.start, self.end)
-        minutes = dimensions.with_unknown(minutes, dimensions.unknown_time(self.spark), "time_key")
+        minutes = dimensions.profile_calendar(self.spark, self.profile, self.start, self.end)
         minutes.write.mode("overwrite").parquet(self.path("calendar"))
         self.reset()
         return self
@@ -77,7 +78,7 @@ class Warehouse:
         """Clear facts, members and marks; keep the calendar; put the unknown
         members back. Keys start again at 1."""
         self._empty("staging", staging.STAGING_SCHEMA)
-        self._empty("facts", facts.FACT_SCHEMA + ", week_bucket date")
+        self._empty("facts", self.fact_schema + ", week_bucket date")
         unknown = dimensions.unknown_members(self.spark, self.profile).coalesce(1)
         unknown.withColumn("load", F.lit(SEED_LOAD)).write.mode("overwrite").partitionBy("load", "dimension").parquet(
             self.path("members")
@@ -117,7 +118,7 @@ class Warehouse:
         return self._frames["calendar", 0]
 
     def calendar_rows(self) -> int:
-        return (self.end - self.start).days * timeparts.MINUTES_PER_DAY + 1
+        return (self.end - self.start).days * timeparts.MINUTES_PER_DAY - self.profile.missing_minutes + 1
 
     def staging(self, through: int | None = None) -> DataFrame:
         return self._read("staging", staging.STAGING_SCHEMA, self.loads() if through is None else through)
@@ -125,7 +126,11 @@ class Warehouse:
     def facts(self, through: int | None = None) -> DataFrame:
         """Facts of finished loads; a filter on ``week_bucket`` skips other weeks."""
         through = self.loads() if through is None else through
-        return self._read("facts", facts.FACT_SCHEMA + ", week_bucket date", through)
+        return self._read("facts", self.fact_schema + ", week_bucket date", through)
+
+    def rejected(self) -> DataFrame:
+        """Staging rows that the variant's rules keep from becoming facts."""
+        return facts.unloadable(self.staging(), self.profile)
 
     def members(self, through: int | None = None) -> DataFrame:
         return self._read("members", MEMBER_SCHEMA, self.loads() if through is None else through)
@@ -193,8 +198,8 @@ class Warehouse:
         except Exception as error:
             self._log(run, topic, "ERROR", 0, str(error))
             raise
-        if report.staged != report.loaded:
-            message = f"{report.staged} staged, {report.loaded} loaded"
+        if report.staged != report.loaded + report.rejected:
+            message = f"{report.staged} staged, {report.loaded} loaded, {report.rejected} rejected"
             self._log(run, topic, "ERROR", report.loaded, message)
             raise RuntimeError(message)
         self._commit(topic, load, report.last_id, mark)
@@ -207,7 +212,7 @@ class Warehouse:
         staged = self.spark.read.schema(staging.STAGING_SCHEMA).parquet(staged_path)
         rows, last_id = staging.staging_mark(staged).first()
 
-        counts = pinned(dimensions.member_counts(staged))
+        counts = pinned(dimensions.member_counts(staged, self.profile.members))
         known = self.members(load)
         # Numbering reads its input twice; the comparison with all known members runs once.
         fresh = pinned(dimensions.new_members(counts, known, ["dimension", "member"]).select("dimension", "member"))
@@ -218,8 +223,8 @@ class Warehouse:
         keyed.write.mode("overwrite").partitionBy("dimension").parquet(member_path)
 
         by_name = {d: self.members_of(d, load + 1) for d in dimensions.NATURAL_KEYS}
-        hot = facts.hot_members(counts, "plate")
-        loaded = facts.star_lookup(staged, by_name, hot, self.profile.unknown_key, self.start, self.end)
+        hot, split = self._hot_members(counts, keyed)
+        loaded = facts.star_lookup(staged, by_name, hot, self.profile, self.start, self.end, split)
         fact_path = f"{self.path('facts')}/load={load}"
         (
             loaded.withColumn("week_bucket", timeparts.week_bucket(F.col("detection_time")))
@@ -229,9 +234,24 @@ class Warehouse:
             .partitionBy("week_bucket")
             .parquet(fact_path)
         )
-        fact_rows = self.spark.read.schema(facts.FACT_SCHEMA).parquet(fact_path).count()
+        fact_rows = self.spark.read.schema(self.fact_schema).parquet(fact_path).count()
         new = self.spark.read.schema(MEMBER_SCHEMA).parquet(member_path).count()
-        return LoadReport(load, rows, fact_rows, new, last_id)
+        rejected = facts.unloadable(staged, self.profile).count() if self.profile.velocity == "required" else 0
+        return LoadReport(load, rows, fact_rows, new, last_id, rejected)
+
+    def _hot_members(self, counts: DataFrame, keyed: DataFrame) -> tuple[DataFrame, list[str]]:
+        """Members that hold many of the rows, and the dimensions among theirs that are
+        too large for the planner to broadcast: only there they have to be split."""
+        hot = pinned(facts.hot_members(counts))
+        names = [row[0] for row in hot.select("dimension").distinct().collect()]
+        if not names:
+            return hot, []
+        # Keys are dense, so the highest tells the number of members.
+        highest = {d: key for d, key in keyed.groupBy("dimension").agg(F.max("key")).collect()}
+        known = self.members(self.loads()).where(F.col("key") != self.profile.unknown_key)
+        for d, key in known.groupBy("dimension").agg(F.max("key")).collect():
+            highest[d] = max(key, highest.get(d, 0))
+        return hot, [d for d in names if highest.get(d, 0) > facts.SMALL_DIMENSION]
 
     def _commit(self, topic: str, load: int, last_id: int, mark: tuple[str, int] | None) -> None:
         now = dt.datetime.now(dt.timezone.utc)

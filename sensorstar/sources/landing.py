@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorstar.session import broadcast_counted, pinned
+
 LANDING_SCHEMA = "id long, time timestamp_ntz, topic string, payload string"
 # Fixed value: how some databases write a missing date.
 ZERO_DATE = "0000-00-00 00:00:00"
@@ -42,16 +44,18 @@ def topic_catalogue(landing: DataFrame) -> DataFrame:
 
 
 def latest_payloads(landing: DataFrame) -> DataFrame:
-    """The newest non-null payload of every topic, in one pass over the lake.
+    """The newest non-null payload of every topic; of equal ids the largest payload.
 
-    Each task sorts its own split and keeps one row per topic before the shuffle,
-    so a busy topic costs no more there than a quiet one.
+    The newest id of each topic is found by hash, without the payloads. One message a
+    topic then meets it, so payloads are neither sorted nor, while the topics are few
+    enough to be broadcast, shuffled.
     """
-    return (
-        landing.where(F.col("payload").isNotNull())
-        .groupBy("topic")
-        .agg(F.max_by("payload", "id").alias("payload"), F.max("id").alias("id"))
-    )
+    messages = landing.where(F.col("payload").isNotNull()).select("topic", "id", "payload")
+    newest = pinned(messages.groupBy(F.col("topic").alias("_topic")).agg(F.max("id").alias("_id")))
+    newest = broadcast_counted(newest)
+    found = messages.join(newest, F.col("topic").eqNullSafe(F.col("_topic")) & (F.col("id") == F.col("_id")))
+    # copies of one message are all that is left of a topic
+    return found.groupBy("topic", "id").agg(F.array_max(F.collect_set("payload")).alias("payload")).select("topic", "payload", "id")
 
 
 def import_time(text: Column) -> Column:
