@@ -230,6 +230,8 @@ STATEMENTS: dict[str, str] = {
           count(*) AS rows, coalesce(sum(velocity), 0) + 1 AS seconds FROM staging GROUP BY 1))""",
     "streamed_facts": """SELECT camera_detection_key AS id, velocity, city_name, country_code, sensor_code,
         vehicle_class, license_plate, detection_type FROM star""",
+    "compacted_facts": """SELECT camera_detection_key AS id, velocity, week_bucket, city_name, country_code, sensor_code,
+        vehicle_class, license_plate, detection_type FROM star""",
     "velocity_by_class": "SELECT vehicle_class, round(avg(velocity), 6) AS average_velocity FROM star GROUP BY 1",
     "detections_by_time": "SELECT full_date, count(*) AS number_of_detections FROM star GROUP BY 1",
     "detections_by_day": "SELECT date_trunc('day', full_date) AS full_date, count(*) AS number_of_detections FROM star GROUP BY 1",

@@ -31,6 +31,7 @@ ALL_TOPICS = "%"
 FIRST_DAY_END = dt.datetime(2024, 1, 2)
 BATCH = 500
 PROFILE_END = dt.date(2024, 1, 21)
+LOAD_STEPS = 4
 
 _warehouses: dict[tuple[str, ...], Warehouse] = {}
 
@@ -481,6 +482,22 @@ def streamed_facts(spark, sf_dir):
     )
 
 
+def compacted_facts(spark, sf_dir):
+    """Facts of several loads after compactions and a vacuum between them, labels in
+    place of keys: the last load is not compacted yet."""
+    warehouse = Warehouse(prepare(spark), scratch(spark, "compacted")).create()
+    messages = camera_landing(spark, sf_dir)
+    last = messages.agg(F.max("id")).first()[0]
+    for step in range(1, LOAD_STEPS + 1):
+        warehouse.load(messages, ALL_TOPICS, up_to_id=last * step // LOAD_STEPS)
+        if step in (2, 3):
+            warehouse.compact()
+            warehouse.vacuum()
+    return semantic.camera_cube(warehouse).details(
+        ["id", "velocity", "week_bucket", "city_name", "country_code", "sensor_code", "vehicle_class", "license_plate", "detection_type"]
+    )
+
+
 # ---- benchmark questions ----------------------------------------------------------------------
 
 
@@ -625,7 +642,7 @@ def camera_queries() -> dict[str, Query]:
         fact_rows, inner_lookup, salted_plate_lookup, guarded_lookup, time_by_parts, time_by_minute, batch_ranges,
         running_fact_keys, uuid_fact_keys, load_reconciliation, orphan_keys, duplicate_members, null_counts,
         unknown_shares, high_water_marks, guarded_upsert, plain_upsert, append_upsert, resume_range, run_log,
-        load_progress, streamed_facts, velocity_by_class, detections_by_time, detections_by_day, fastest_cities,
+        load_progress, streamed_facts, compacted_facts, velocity_by_class, detections_by_time, detections_by_day, fastest_cities,
         velocity_by_type_and_class, weekend_city_ranks, all_measures_total, measure_ignoring_filter, filtered_cube,
         date_rollup, time_rollup, date_drill, drill_members, data_mart, stored_rollup, model_partitions,
         run_monitor, control_monitor, staging_monitor,

@@ -9,8 +9,10 @@ lost nor loaded twice, also when executors or the driver die in between.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,8 @@ from pyspark.sql import functions as F
 from sensorstar.functions import timeparts
 from sensorstar.operators import control, dimensions, facts, staging
 from sensorstar.plans.profiles import CANON, Profile
-from sensorstar.session import literal_rows, pinned
+from sensorstar.plans.segments import Manifest, SegmentStore, Table
+from sensorstar.session import folders, literal_rows, pinned, removed
 from sensorstar.sources.landing import incremental_scan
 
 MEMBER_SCHEMA = "dimension string, member string, key long"
@@ -27,6 +30,8 @@ JOB_NAME = "load_camera_detections"
 LOADS_TOPIC = "#loads"
 # Control rows that count the finished batches of a stream.
 STREAM_TOPIC = "#stream:"
+# Control rows that name the newest segments of each table.
+COMPACTED_TOPIC = "#compacted:"
 # Load number of the unknown members, below every real load.
 SEED_LOAD = -1
 
@@ -57,9 +62,11 @@ class Warehouse:
         self.profile = profile
         self.start, self.end = start, end
         self.fact_schema = facts.fact_schema(profile)
-        self._loads: int | None = None
+        self._marks: dict[str, int] | None = None
+        self._store = SegmentStore(spark, root)
         # Tables of finished loads never change, so their file lists are kept.
-        self._frames: dict[tuple[str, int], DataFrame] = {}
+        self._frames: dict[tuple, DataFrame] = {}
+        self._manifests: dict[str, Manifest] = {}
 
     # ---- tables -------------------------------------------------------------
 
@@ -84,26 +91,67 @@ class Warehouse:
             self.path("members")
         )
         self._empty("control", control.CONTROL_SCHEMA)
-        self._loads = 0
-        self._frames.clear()
+        self._forget()
+        for table in self._tables():
+            removed(self.spark, f"{self.root}/{table}_segments")
 
     def _empty(self, table: str, schema: str) -> None:
         literal_rows(self.spark, schema, []).coalesce(1).write.mode("overwrite").parquet(self.path(table))
 
-    def _read(self, table: str, schema: str, through: int) -> DataFrame:
-        if (table, through) not in self._frames:
-            rows = self.spark.read.schema(schema + ", load int").parquet(self.path(table))
-            rows = rows.where(F.col("load") < through).drop("load")
+    def _tables(self) -> dict[str, Table]:
+        return {
+            "facts": Table("facts", self.fact_schema + ", week_bucket date", "week_bucket", ("time_key", "sensor_key")),
+            "members": Table("members", MEMBER_SCHEMA, "dimension", ("member",)),
+            "staging": Table("staging", staging.STAGING_SCHEMA, None, ("landing_id",)),
+        }
+
+    def _manifest(self, table: str) -> Manifest:
+        """The newest segments of a table."""
+        if table not in self._manifests:
+            number = self._mark(f"{COMPACTED_TOPIC}{table}")
+            self._manifests[table] = self._store.manifest(self._tables()[table], number, SEED_LOAD)
+        return self._manifests[table]
+
+    def _read(self, table: str, through: int, low: int = SEED_LOAD, part: str | None = None) -> DataFrame:
+        """Rows of the loads from ``low`` to before ``through``, of all parts or one: what
+        compaction covers from segments, later loads from their own folders."""
+        key = (table, through, low, part)
+        if key not in self._frames:
+            of, manifest = self._tables()[table], self._manifest(table)
+            found = [self._store.read(of, manifest, part) if low < manifest.upto else None]
+            if through > manifest.upto:
+                found.append(self._load_folders(of, max(low, manifest.upto), part))
+            found = [rows.where((F.col("load") >= low) & (F.col("load") < through)) for rows in found if rows is not None]
+            rows = reduce(DataFrame.unionByName, found) if found else literal_rows(self.spark, f"{of.schema}, load int", [])
+            rows = rows.drop("load")
             if through > self.loads():
                 return rows
-            self._frames[table, through] = rows
-        return self._frames[table, through]
+            self._frames[key] = rows
+        return self._frames[key]
+
+    def _load_folders(self, table: Table, low: int, part: str | None) -> DataFrame | None:
+        """Rows in the folders of loads from ``low`` on. The planner estimates a table by the
+        files it lists and not by the partitions a filter leaves, so a small part is seen to
+        be small, and broadcast, only if no other files are listed."""
+        read = self.spark.read.schema(f"{table.schema}, load int")
+        if part is None and low == SEED_LOAD:
+            return read.parquet(self.path(table.name))
+        inner = f"/{table.part}={part}" if part is not None else ""
+        listed = folders(self.spark, f"{self.path(table.name)}/load=*{inner}")
+        numbered = [(int(re.search(r"/load=(-?\d+)", path)[1]), path) for path in listed]
+        paths = [path for load, path in numbered if load >= low]
+        return read.option("basePath", self.path(table.name)).parquet(*paths) if paths else None
+
+    def _mark(self, topic: str) -> int:
+        """A mark of the warehouse itself; all of them are read at once."""
+        if self._marks is None:
+            own = self.control().where(F.col("process_step") == 0).groupBy("topic").agg(F.max("last_loaded_id"))
+            self._marks = dict(own.collect())
+        return self._marks.get(topic, 0)
 
     def loads(self) -> int:
         """Number of finished loads."""
-        if self._loads is None:
-            self._loads = control.high_water_mark(self.control(), LOADS_TOPIC, 0).first()[0]
-        return self._loads
+        return self._mark(LOADS_TOPIC)
 
     def control(self) -> DataFrame:
         return self.spark.read.schema(control.CONTROL_SCHEMA).parquet(self.path("control"))
@@ -121,35 +169,23 @@ class Warehouse:
         return (self.end - self.start).days * timeparts.MINUTES_PER_DAY - self.profile.missing_minutes + 1
 
     def staging(self, through: int | None = None) -> DataFrame:
-        return self._read("staging", staging.STAGING_SCHEMA, self.loads() if through is None else through)
+        return self._read("staging", self.loads() if through is None else through)
 
-    def facts(self, through: int | None = None) -> DataFrame:
-        """Facts of finished loads; a filter on ``week_bucket`` skips other weeks."""
-        through = self.loads() if through is None else through
-        return self._read("facts", self.fact_schema + ", week_bucket date", through)
+    def facts(self, through: int | None = None, low: int = SEED_LOAD) -> DataFrame:
+        """Facts of finished loads, all or from load ``low`` on; a filter on ``week_bucket``
+        skips other weeks."""
+        return self._read("facts", self.loads() if through is None else through, low)
 
     def rejected(self) -> DataFrame:
         """Staging rows that the variant's rules keep from becoming facts."""
         return facts.unloadable(self.staging(), self.profile)
 
     def members(self, through: int | None = None) -> DataFrame:
-        return self._read("members", MEMBER_SCHEMA, self.loads() if through is None else through)
+        return self._read("members", self.loads() if through is None else through)
 
     def members_of(self, name: str, through: int | None = None) -> DataFrame:
-        """Members of one dimension, from its own folders only.
-
-        The planner estimates a table by the files it lists and not by the partitions
-        a filter leaves, so a small dimension is seen to be small, and broadcast, only
-        if the other dimensions' files are not listed.
-        """
-        through = self.loads() if through is None else through
-        if (name, through) not in self._frames:
-            folders = self.spark.read.schema(MEMBER_SCHEMA + ", load int").option("basePath", self.path("members"))
-            rows = folders.parquet(f"{self.path('members')}/load=*/dimension={name}").where(F.col("load") < through)
-            if through > self.loads():
-                return rows.drop("load")
-            self._frames[name, through] = rows.drop("load")
-        return self._frames[name, through]
+        """Members of one dimension, from its own folders only."""
+        return self._read("members", self.loads() if through is None else through, part=name)
 
     def dimension(self, name: str) -> DataFrame:
         """Key and label of one dimension.
@@ -179,8 +215,7 @@ class Warehouse:
     def load_batch(self, messages: DataFrame, topic: str, stream: str, batch: int) -> LoadReport:
         """Load a micro-batch as the next load, unless this batch of this stream is
         done. The control row of the load says so, so both are written at once."""
-        done = control.high_water_mark(self.control(), f"{STREAM_TOPIC}{stream}", 0).first()[0]
-        if batch < done:
+        if batch < self._mark(f"{STREAM_TOPIC}{stream}"):
             return LoadReport(self.loads(), 0, 0, 0, 0)
         return self.load_messages(messages, topic, self.loads(), (f"{STREAM_TOPIC}{stream}", batch + 1))
 
@@ -263,8 +298,46 @@ class Warehouse:
             rows.append((topic, control.FACT_STEP, last_id, True, now))
         marks = literal_rows(self.spark, control.CONTROL_SCHEMA, rows).coalesce(1)
         marks.write.mode("append").parquet(self.path("control"))
-        self._loads = load + 1
+        self._forget()
+
+    def _forget(self) -> None:
+        self._marks = None
         self._frames.clear()
+        self._manifests.clear()
+
+    # ---- layout over many loads ---------------------------------------------
+
+    def compact(self) -> dict[str, int]:
+        """Merge the folders of all finished loads into sorted segments; rows merged per
+        table. Facts of a week are sorted by time and sensor over all its files, so that a
+        filter on times skips files and row groups. Readers are not disturbed: what they
+        read stays until ``vacuum``."""
+        through, now, marks, merged = self.loads(), dt.datetime.now(dt.timezone.utc), [], {}
+        for name, table in self._tables().items():
+            before = self._manifest(name)
+            if before.upto >= through:
+                continue
+            fresh = self._load_folders(table, before.upto, None)
+            fresh = fresh.where(F.col("load") < through) if fresh is not None else literal_rows(self.spark, f"{table.schema}, load int", [])
+            after = self._store.compact(table, before, fresh, through)
+            merged[name] = sum(rows for found in after.segments.values() for number, rows in found if number == after.number)
+            marks.append((f"{COMPACTED_TOPIC}{name}", 0, after.number, True, now))
+        if marks:
+            literal_rows(self.spark, control.CONTROL_SCHEMA, marks).coalesce(1).write.mode("append").parquet(self.path("control"))
+            self._forget()
+        return merged
+
+    def vacuum(self, keep: int = 0) -> int:
+        """Delete folders that only compactions before the last ``keep`` + 1 need. Nobody may
+        still read what older ones named."""
+        deleted = 0
+        for name, table in self._tables().items():
+            newest = self._manifest(name)
+            if newest.number:
+                older = [self._store.manifest(table, n, SEED_LOAD) for n in range(max(newest.number - keep, 0), newest.number)]
+                deleted += self._store.vacuum(table, [*older, newest])
+        self._forget()
+        return deleted
 
     def _log(self, run: str, topic: str, status: str, rows: int, message: str | None) -> None:
         event = [(run, JOB_NAME, topic, status, dt.datetime.now(dt.timezone.utc), rows, 0, message)]

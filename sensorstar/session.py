@@ -59,6 +59,13 @@ def removed(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a pattern; none is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or [] if status.isDirectory()]
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder: later reads see the same rows in
     the same partitions, also after an executor is lost."""
