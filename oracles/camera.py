@@ -262,6 +262,9 @@ STATEMENTS: dict[str, str] = {
         country_code AS country_country_code, year_num AS calendar_year, {MONTH} AS calendar_month_name FROM star""",
     "stored_rollup": """SELECT city_name, round(avg(CASE WHEN velocity > 0 THEN velocity END), 6) AS avg_velocity,
         count(*) AS detections, max(velocity) AS max_velocity FROM star GROUP BY 1""",
+    "kept_rollup": """SELECT city_name, day_num AS day, round(avg(CASE WHEN velocity > 0 THEN velocity END), 6) AS avg_velocity,
+        count(*) AS detections, max(velocity) AS max_velocity, min(velocity) AS min_velocity
+        FROM star WHERE country_code = 'CZ' GROUP BY 1, 2""",
     "model_partitions": """SELECT 'facts' AS table_name, count(*) AS rows FROM facts UNION ALL
         SELECT 'calendar', count(*) FROM calendar UNION ALL SELECT dimension, count(*) FROM members GROUP BY 1""",
     "run_monitor": """SELECT 'load_camera_detections' AS job_name, '%' AS topic, 'SUCCESS' AS status,

@@ -160,14 +160,28 @@ class Cube:
 
     # ---- stored roll-ups --------------------------------------------------------
 
-    def build_rollup(self, measures: Sequence[str], dimensions: Sequence[str], path: str) -> None:
-        """Store the states of additive measures per dimension combination."""
+    def check_additive(self, measures: Sequence[str]) -> None:
         kinds = {self.measures[m].type for m in measures}
         if any(kind.startswith("distinct") for kind in kinds):
             raise ValueError("distinct counts cannot be added up from a stored roll-up")
-        labelled = self._labelled(self._states(measures, dimensions, ()), dimensions, None, "left")
+
+    def states(self, measures: Sequence[str], dimensions: Sequence[str]) -> DataFrame:
+        """The states of additive measures per dimension combination."""
+        self.check_additive(measures)
+        return self.merged(self._labelled(self._states(measures, dimensions, ()), dimensions, None, "left"), measures, dimensions)
+
+    def merged(self, states: DataFrame, measures: Sequence[str], dimensions: Sequence[str]) -> DataFrame:
+        """States of equal dimension values as one."""
         merged = [_merge(state, how).alias(state) for m in measures for state, (_, how) in self._parts(self.measures[m])]
-        labelled.groupBy(*dimensions).agg(*merged).write.mode("overwrite").parquet(path)
+        return states.groupBy(*dimensions).agg(*merged)
+
+    def finished(self, states: DataFrame, measures: Sequence[str], dimensions: Sequence[str]) -> DataFrame:
+        """Measures from states, for any subset of their dimensions."""
+        return self._finish(states, measures, dimensions)
+
+    def build_rollup(self, measures: Sequence[str], dimensions: Sequence[str], path: str) -> None:
+        """Store the states of additive measures per dimension combination."""
+        self.states(measures, dimensions).write.mode("overwrite").parquet(path)
 
     def from_rollup(self, spark: SparkSession, path: str, measures: Sequence[str], dimensions: Sequence[str]) -> DataFrame:
         """Answer from a stored roll-up; any subset of its dimensions will do."""
