@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 
 from sensorstar.functions import payload as P
 from sensorstar.functions.text import column_name, leading_letter, legacy_column_name, once, strip
+from sensorstar.session import spread
 
 # Levels that a payload takes besides its nesting: text that is not JSON is first
 # wrapped as ``raw_value``, and the scalars inside the last container are read.
 _WRAPPED = 2
+# Opening brackets that are taken as levels without looking at where they stand.
+_SHALLOW = 3
 
 
 def nesting(payload: Column) -> Column:
@@ -46,8 +49,12 @@ def nesting(payload: Column) -> Column:
 
 
 def nesting_bound(rows: DataFrame, column: str = "payload") -> int:
-    """Levels that every payload of ``rows`` needs at most; more change nothing."""
-    return (rows.agg(F.max(nesting(F.col(column)))).first()[0] or 0) + _WRAPPED
+    """Levels that every payload of ``rows`` needs at most; more change nothing. Only texts
+    with more opening brackets than a few are read sign by sign."""
+    text = F.col(column)
+    opening = F.length(text) - F.length(F.translate(text, "{[", ""))
+    deep = F.when(opening <= _SHALLOW, opening).otherwise(nesting(text))
+    return (rows.agg(F.max(deep)).first()[0] or 0) + _WRAPPED
 
 
 def _entry(path: Column, value: Column, done: bool = False) -> Column:
@@ -163,6 +170,7 @@ def _last_of_each_name(entries: Column) -> Column:
 
 def flattened(landing: DataFrame, levels: int | None = None) -> DataFrame:
     """Landing rows with ``leaves``: every payload value under its column name."""
+    landing = spread(landing)
     depth = nesting_bound(landing) if levels is None else levels
     parsed = landing.withColumn("_value", P.tolerant_payload(F.col("payload")))
     return with_leaves(parsed, "_value", depth).drop("_value")
@@ -190,6 +198,7 @@ def element_rows(landing: DataFrame) -> DataFrame:
 
 
 def flattened_elements(landing: DataFrame, mode: str, levels: int | None = None) -> DataFrame:
+    landing = spread(landing)
     depth = nesting_bound(landing) if levels is None else levels
     return with_leaves(element_rows(landing), "value", depth, mode).drop("value")
 

@@ -73,6 +73,13 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores, dealt out to all of them: costly work on
+    each row should not wait for one task. A table of many splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def literal(value: object) -> Column:
     """A literal; a time without a zone stays without one in any session."""
     if isinstance(value, dt.datetime) and value.tzinfo is None:
