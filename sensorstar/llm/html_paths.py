@@ -3,11 +3,16 @@
 Every piece of text has a path of tags from the root. Per path, the length of its
 text and its punctuation are summed and divided by its number of pieces. Both ratios
 are smoothed over neighbouring pieces, multiplied, and averaged back to paths; paths
-above a threshold are content, and so are headings and blocks that are not mostly
-links. Where article or main tags hold nearly all text of paths above the threshold,
-all that is in them is the article; else the smallest container of all content is.
-Its pieces are the text, but for marked boilerplate and, outside article and main,
-bare lists of links of paths below the threshold.
+above a threshold are content.
+
+Tags, roles and class names mark boilerplate, unless the scores speak against it: a
+marked element that holds the main article, and one marked by its name (or a form) that
+holds the first heading or all text there is, is none if it has more score than all text
+outside marked elements. What article and main
+tags hold is the article, with text beside them whose path is above the threshold or
+that stands in paragraphs; on pages without these tags it is what the smallest container
+of all content holds. Bare lists of links outside article and main go if their path is
+below the threshold.
 """
 
 from __future__ import annotations
@@ -28,9 +33,6 @@ from sensorstar.llm.common import by_batch
 KERNEL = np.array([1, 2, 4, 2, 1]) / 10
 # A path is content from this share of the page's mean score on (mean by characters).
 SHARE_OF_MEAN = 0.25
-# Article and main tags are believed if they hold this share of the characters of
-# content paths.
-CONTAINED = 0.8
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[a-zA-Z/!][^>]*\Z",
@@ -38,7 +40,7 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 PUNCTUATION = re.compile(r"[.,;:!?…()\"'«»¿¡-]")
-NAME_PARTS = re.compile(r"[^a-z0-9]+")
+NAME_PARTS = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z0-9])(?=[A-Z])|(?<=[a-z])(?=[0-9])")
 
 # Kinds of tags of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,20 +66,34 @@ BOILERPLATE_NAMES = frozenset(
     "newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "pagination pager toolbar masthead topbar copyright skip tags widget widgets".split()
 )
-NEVER_MARKED = frozenset("html body article main".split())
+# Words that say nothing of a name's meaning: a name marks boilerplate if all its words
+# are names of boilerplate or such.
+NEUTRAL_NAMES = frozenset(
+    "site page main left right top bottom first second primary secondary global local list lists box boxes block area bar container "
+    "wrapper wrap inner outer section buttons button links link item items post posts article articles content body text message "
+    "panel slot unit row col column grid holder group module view region js and the".split()
+)
+NEVER_MARKED = frozenset("html body".split())
+PARAGRAPHS = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6 dd figcaption".split())
 
 
 class _Element:
-    """An open tag: its place in the tree, whether it is boilerplate, inside an article."""
+    """An open tag: its place in the tree, what marks it, and what it stands in. Elements
+    are numbered in page order, so those inside have the numbers up to ``end``."""
 
-    __slots__ = ("boiler", "header", "in_article", "name", "number", "parent", "path")
+    __slots__ = ("end", "header", "heading", "hidden", "in_article", "item", "link", "marked", "name", "number", "paragraph", "parent", "path")
 
-    def __init__(self, number: int, name: str, parent: _Element | None, attributes: str) -> None:
-        self.number, self.name, self.parent = number, name, parent
-        self.path = f"{parent.path}/{name}" if parent else name
-        self.in_article = name in ("article", "main") or bool(parent and parent.in_article)
+    def __init__(self, number: int, name: str, parent: _Element | None, attributes: str, path: int) -> None:
+        self.number, self.end, self.name, self.parent, self.path = number, number, name, parent, path
+        own = name in ("article", "main")
+        self.in_article = own or bool(parent and parent.in_article)
         self.header = name == "header" or bool(parent and parent.header)
-        self.boiler = bool(parent and parent.boiler) or self._marked(attributes)
+        self.heading = name in HEADINGS or bool(parent and parent.heading)
+        self.link = name == "a" or bool(parent and parent.link)
+        self.item = name == "li" or bool(parent and parent.item)
+        self.paragraph = name in PARAGRAPHS or bool(name in INLINE and parent and parent.paragraph)
+        self.hidden = False
+        self.marked = self._marked(attributes)
 
     def _marked(self, attributes: str) -> bool:
         if self.name in BOILERPLATE_TAGS or (self.name == "header" and not self.in_article):
@@ -87,11 +103,20 @@ class _Element:
         given = {}
         for name, *values in ATTRIBUTE.findall(attributes):
             given.setdefault(name.lower(), next(filter(None, values), ""))
-        if "hidden" in given or given.get("aria-hidden") == "true" or given.get("role", "").lower() in BOILERPLATE_ROLES:
+        self.hidden = "hidden" in given or given.get("aria-hidden") == "true"
+        if self.hidden or given.get("role", "").lower() in BOILERPLATE_ROLES:
             return True
-        names = NAME_PARTS.split(f"{given.get('class', '')} {given.get('id', '')}".lower())
-        marked = BOILERPLATE_NAMES if self.in_article or self.name in HEADINGS else BOILERPLATE_NAMES | {"header"}
-        return not marked.isdisjoint(names)
+        names = f"{given.get('class', '')} {given.get('id', '')}".split()
+        marks = BOILERPLATE_NAMES if self.in_article or self.name in HEADINGS else BOILERPLATE_NAMES | {"header"}
+        return any(_says(name, marks) for name in names)
+
+
+def _says(name: str, marks: frozenset) -> bool:
+    """Whether a class or id consists of words of ``marks`` and neutral ones. A number is
+    neutral; words of another meaning (``no-sidebar``, ``share-price``) keep it from marking."""
+    words = [w.lower() for w in NAME_PARTS.split(name) if w]
+    told = [w for w in words if w not in NEUTRAL_NAMES and not w.isdigit()]
+    return bool(told) and all(w in marks for w in told)
 
 
 @dataclass
@@ -99,28 +124,36 @@ class _Piece:
     text: str
     element: _Element
     block: int
-    link: bool
 
 
-def pieces(html: str) -> list[_Piece]:
-    """The texts of a page in order, with their element and the block they stand in.
-    Tags that are left open or closed without being open are borne with."""
-    root = _Element(0, "#", None, "")
-    at, count, block, found, stack = 0, 0, 0, [], [root]
-
-    def add(text: str) -> None:
-        if text:
-            link = any(e.name == "a" for e in reversed(stack))
-            found.append(_Piece(unescape(text), stack[-1], block, link))
-
-    def close(names: tuple[str, ...], scopes: frozenset) -> bool:
+def pieces(html: str) -> tuple[list[_Piece], list[_Element]]:
+    """The texts of a page in order, with their element and the block they stand in, and
+    the elements in order. Tags that are left open or closed without being open are borne
+    with. Work and memory are in proportion to the page, however deep its tags nest."""
+    root = _Element(0, "#", None, "", 0)
+    at, block, found, stack, elements = 0, 0, [], [root], [root]
+    paths: dict[tuple[int, str], int] = {}
+    opened: dict[str, int] = defaultdict(int)
+
+    def cut(place: int) -> None:
+        for element in stack[place:]:
+            element.end = len(elements) - 1
+            opened[element.name] -= 1
+        del stack[place:]
+
+    def close(names: tuple[str, ...], scopes: frozenset) -> None:
+        if not any(opened[name] for name in names):
+            return
         for place in range(len(stack) - 1, 0, -1):
             if stack[place].name in names:
-                del stack[place:]
-                return True
+                cut(place)
+                return
             if stack[place].name in scopes:
-                return False
-        return False
+                return
+
+    def add(text: str) -> None:
+        if text:
+            found.append(_Piece(unescape(text), stack[-1], block))
 
     while match := TOKEN.search(html, at):
         add(html[at : match.start()])
@@ -145,17 +178,20 @@ def pieces(html: str) -> list[_Piece]:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
             at = end.end() if end else len(html)
         elif name not in VOID and not match["rest"].endswith("/"):
-            count += 1
-            stack.append(_Element(count, name, stack[-1], match["rest"]))
+            path = paths.setdefault((stack[-1].path, name), len(paths) + 1)
+            stack.append(_Element(len(elements), name, stack[-1], match["rest"], path))
+            elements.append(stack[-1])
+            opened[name] += 1
     add(html[at:])
-    return found
+    cut(0)
+    return found, elements
 
 
-def path_scores(found: list[_Piece]) -> dict[str, float]:
+def path_scores(found: list[_Piece]) -> dict[int, float]:
     """The fused and smoothed ratio of each path."""
     lengths = np.array([len(" ".join(p.text.split())) for p in found], float)
     marks = np.array([len(PUNCTUATION.findall(p.text)) for p in found], float)
-    places: dict[str, int] = {}
+    places: dict[int, int] = {}
     number = np.array([places.setdefault(p.element.path, len(places)) for p in found])
     count = np.bincount(number)
     side = len(KERNEL) // 2
@@ -166,14 +202,51 @@ def path_scores(found: list[_Piece]) -> dict[str, float]:
     return dict(zip(places, averaged.tolist(), strict=True))
 
 
+def _boilerplate(found: list[_Piece], elements: list[_Element]) -> list[bool]:
+    """For each element, whether it or one around it is boilerplate."""
+    told = [p for p in found if not p.text.isspace()]
+    scores = path_scores(told) if told else {}
+    nearest = [0] * len(elements)  # the nearest marked element, 0 for none
+    for element in elements[1:]:
+        nearest[element.number] = element.number if element.marked else nearest[element.parent.number]
+    # Score by the nearest marked element, and within every element.
+    own, along = [0.0] * len(elements), [0.0] * (len(elements) + 1)
+    for piece in told:
+        if not piece.element.link:
+            weight = scores[piece.element.path] * len(piece.text)
+            own[nearest[piece.element.number]] += weight
+            along[piece.element.number + 1] += weight
+    for n in range(len(elements)):
+        along[n + 1] += along[n]
+    articles = [e for e in elements if e.name in ("article", "main") and not e.marked]
+    article = max(articles, key=lambda e: along[e.end + 1] - along[e.number], default=None)
+    heading = next((e for e in elements if e.name == "h1"), None)
+    around_article, around_heading = [nearest[e.number] if e else 0 for e in (article, heading)]
+    plain, silent = own[0], not any(p for p in told if not nearest[p.element.number])
+    boiler = [False] * len(elements)
+    for element in elements[1:]:
+        above = boiler[element.parent.number]
+        if element.marked and not above and not element.hidden:
+            by_name = element.name not in BOILERPLATE_TAGS or element.name == "form"
+            spared = element.number == around_article or (by_name and (element.number == around_heading or silent))
+            spared = spared and own[element.number] > plain
+            if spared:
+                plain += own[element.number]
+            boiler[element.number] = not spared
+        else:
+            boiler[element.number] = above or element.marked
+    return boiler
+
+
 def main_text(html: str | None) -> str:
     """The article of a page: references decoded, one space for any white space and
     between blocks. Empty if the page has no content."""
-    return _article(pieces(html or ""))
+    return _article(*pieces(html or ""))
 
 
-def _article(found: list[_Piece]) -> str:
-    open_pieces = [p for p in found if not p.element.boiler and (not p.element.header or _in_heading(p.element))]
+def _article(found: list[_Piece], elements: list[_Element]) -> str:
+    boiler = _boilerplate(found, elements)
+    open_pieces = [p for p in found if not boiler[p.element.number] and (not p.element.header or p.element.heading)]
     told = [p for p in open_pieces if not p.text.isspace()]
     if not told:
         return ""
@@ -181,13 +254,13 @@ def _article(found: list[_Piece]) -> str:
     size = [len(p.text) for p in told]
     mean = sum(scores[p.element.path] * n for p, n in zip(told, size, strict=True)) / sum(size)
     high = {path for path, score in scores.items() if score >= SHARE_OF_MEAN * mean}
-    best = [p for p in told if p.element.path in high]
-    if sum(len(p.text) for p in best if p.element.in_article) >= CONTAINED * sum(len(p.text) for p in best):
-        kept = [p for p in open_pieces if p.element.in_article]
+    plain = _text_blocks(told)
+    if any(p.element.in_article for p in told):
+        beside = {p.block for p in told if p.block in plain and (p.element.path in high or p.element.paragraph)}
+        kept = [p for p in open_pieces if p.element.in_article or p.block in beside]
     else:
-        plain = _text_blocks(told)
-        inside = _container([p for p in told if p.element.path in high or p.block in plain or _in_heading(p.element)])
-        kept = [p for p in open_pieces if inside is None or _within(p.element, inside)]
+        inside = _container([p for p in told if p.element.path in high or p.block in plain or p.element.heading])
+        kept = [p for p in open_pieces if inside is None or inside.number <= p.element.number <= inside.end]
     bare = _link_blocks(kept, high)
     return _joined([p for p in kept if p.block not in bare])
 
@@ -196,50 +269,30 @@ def _text_blocks(told: list[_Piece]) -> set[int]:
     """Blocks with letters or digits of which no more than half are in links."""
     letters: dict[int, int] = defaultdict(int)
     for piece in told:
-        letters[piece.block] += sum(map(str.isalnum, piece.text)) * (-1 if piece.link else 1)
-    written = {p.block for p in told if not p.link and any(map(str.isalnum, p.text))}
+        letters[piece.block] += sum(map(str.isalnum, piece.text)) * (-1 if piece.element.link else 1)
+    written = {p.block for p in told if not p.element.link and any(map(str.isalnum, p.text))}
     return {block for block in written if letters[block] >= 0}
 
 
-def _in_heading(element: _Element | None) -> bool:
-    while element:
-        if element.name in HEADINGS:
-            return True
-        element = element.parent
-    return False
-
-
-def _within(element: _Element | None, container: _Element) -> bool:
-    while element:
-        if element is container:
-            return True
-        element = element.parent
-    return False
-
-
 def _container(content: list[_Piece]) -> _Element | None:
     """The smallest container that holds all content; none holds texts beside the root."""
-    held: dict[int, int] = defaultdict(int)
-    elements: dict[int, _Element] = {}
-    for piece in content:
-        element = piece.element
-        while element:
-            if element.name in CONTAINERS:
-                held[element.number] += 1
-                elements[element.number] = element
-            element = element.parent
-    around = [n for n, pieces_ in held.items() if pieces_ == len(content)]
-    return elements[max(around)] if around else None
-
-
-def _link_blocks(kept: list[_Piece], high: set[str]) -> set[int]:
+    if not content:
+        return None
+    first = min((p.element for p in content), key=lambda e: e.number)
+    last = max(p.element.number for p in content)
+    while first and not (first.name in CONTAINERS and first.end >= last):
+        first = first.parent
+    return first
+
+
+def _link_blocks(kept: list[_Piece], high: set[int]) -> set[int]:
     """Blocks of lists in which every word is a link, where such blocks follow each other;
     none in article or main, none of paths above the threshold."""
     linked: dict[int, bool] = {}
     for piece in kept:
         if not piece.text.isspace():
             element = piece.element
-            listed = piece.link and "/li" in element.path and not element.in_article and element.path not in high
+            listed = element.link and element.item and not element.in_article and element.path not in high
             linked[piece.block] = linked.get(piece.block, True) and listed
     order = list(linked)
     bare = {b for b in order if linked[b]}
@@ -260,7 +313,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` per row of ``pages``.
 
     Null and empty pages have an empty text. Pages are read whole, whatever their
-    length; ids and urls may be null or repeat. Other columns are not read.
+    length and however deep their tags nest; ids and urls may be null or repeat, and each
+    row is read by itself. An empty table gives an empty one. Other columns, also ones
+    named like the result's, are not read.
     """
 
     def make():
