@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from sensorstar.functions.timeparts import CZECH_MONTHS
-from sensorstar.plans import semantic
 from sensorstar.sources.sample_landing import CAMERA_COLUMNS, as_sql
 
+CZECH_MONTHS = "Leden Únor Březen Duben Květen Červen Červenec Srpen Září Říjen Listopad Prosinec".split()
 FIELDS = ["detectionType", "utc", "lp", "sensor", "vehClass", "ilpc", "velocity"]
 NUMBER = "'^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$'"
 DIMENSIONS = ["city", "sensor", "plate", "detection_type", "vehicle_class", "country"]
@@ -320,9 +319,12 @@ LABELS = {
     "month_name_english": "monthname(full_date)",
     "month_year_english": "monthname(full_date) || ' ' || CAST(year_num AS VARCHAR)",
 }
+# members whose name is that of their column
+SAME = """velocity week_bucket detection_type_key city_name is_active country_code sensor_code vehicle_class license_plate
+  detection_type full_date""".split()
 STATEMENTS.update({
-    f"by_{d.name}": f"SELECT {LABELS.get(d.name, d.name)} AS {d.name}, count(*) AS detections FROM star GROUP BY 1"
-    for d in semantic.DIMENSIONS
+    f"by_{d}": f"SELECT {sql} AS {d}, count(*) AS detections FROM star GROUP BY 1"
+    for d, sql in {**LABELS, **{d: d for d in SAME}}.items()
 })
 STATEMENTS.update({
     f"per_{g}": f"""SELECT CAST(date_trunc('{g}', full_date) AS TIMESTAMP) AS full_date, count(*) AS detections,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from sensorstar.functions.text import TABLE_KEYWORDS
-from sensorstar.operators.discovery import ISO_TIME
 from sensorstar.plans.registered_sensors import FIRST_STEP, FUSED, GROUPS, LAST_GROUP, NARROW
 from sensorstar.sources.sample_landing import SENSOR_COLUMNS, as_sql
 
@@ -31,7 +29,12 @@ def logical(depth: int) -> str:
 WHOLE = """CASE WHEN regexp_matches(t.text, '^[+-]?[0-9]+$') THEN TRY_CAST(t.text AS BIGINT)
   ELSE TRY_CAST(round_even(TRY_CAST(t.text AS DOUBLE), 0) AS BIGINT) END"""
 
-ISO = ISO_TIME.replace("'", "''")
+# the texts that count as times: dates of the calendar or of weeks, with or without a time of day
+DATE = "[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])|[0-9]{4}-?W(0[1-9]|[1-4][0-9]|5[0-3])(-?[1-7])?|[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])"
+CLOCK = "([01][0-9]|2[0-3])(:?[0-5][0-9](:?[0-5][0-9]([.,][0-9]+)?)?)?(Z|[+-][0-9]{2}(:?[0-9]{2}(:?[0-9]{2}([.][0-9]+)?)?)?)?"
+ISO = f"^({DATE})(.{CLOCK})?$"
+# parts of topics that name a table
+TABLE_KEYWORDS = "energo|dcuk|camea|ttndata|bilina|cez|decin|mve"
 PRELUDE = f"""WITH landing AS ({as_sql(SENSOR_COLUMNS, "orders")}),
 read AS (SELECT id, time, topic, payload, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON)
   WHEN payload LIKE '{{%' AND contains(payload, {QUOTE}) AND NOT contains(payload, '"') AND json_valid({swapped("payload")})
@@ -126,9 +129,14 @@ MAPPING = ", ".join(
     for topic in topics
 )
 
-DECODED = """CASE WHEN doc_id % 3 = 0 THEN text
-  WHEN doc_id % 3 = 1 THEN 'čž' || regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')
-  ELSE chr(129) || 'è' || regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') END"""
+# The upper signs of Windows-1250.
+CENTRAL = (
+    "€‚„…†‡‰Š‹ŚŤŽŹ‘’“”•–—™š›śťžź\u00a0ˇ˘Ł¤Ą¦§¨©Ş«¬\u00ad®Ż°±˛ł´µ¶·¸ąş»Ľ˝ľż"
+    "ŔÁÂĂÄĹĆÇČÉĘËĚÍÎĎĐŃŇÓÔŐÖ×ŘŮÚŰÜÝŢßŕáâăäĺćçčéęëěíîďđńňóôőö÷řůúűüýţ˙"
+)
+DECODED = f"""CASE WHEN doc_id % 3 = 0 THEN text
+  WHEN doc_id % 3 = 1 THEN 'čž ' || regexp_replace(text, '[^\\x00-\\x7F{CENTRAL}]', '?', 'g')
+  ELSE chr(129) || 'è ' || regexp_replace(text, '[^\\x00-\\xFF]', '?', 'g') END"""
 
 WIDE = f"""SELECT l.id, any_value(l.time) AS time, any_value(l.topic) AS topic,
   max(CASE WHEN path = 'level' THEN whole END) AS level, max(CASE WHEN path = 'battery' THEN number END) AS battery,

@@ -73,27 +73,42 @@ def topic_table(topic: Column) -> Column:
     return F.lower(F.concat(F.lit("stg_"), F.regexp_replace(flat, "__", "_")))
 
 
+def _central_signs() -> tuple[str, str, str]:
+    """The upper signs of Windows-1250, the Latin-1 signs of the same bytes, and the Latin-1
+    signs of bytes it does not have; from the codec itself."""
+    upper = [bytes([b]) for b in range(128, 256)]
+    known = [b for b in upper if b.decode("cp1250", errors="ignore")]
+    lacking = "".join(b.decode("latin-1") for b in upper if b not in known)
+    return "".join(b.decode("cp1250") for b in known), "".join(b.decode("latin-1") for b in known), lacking
+
+
 def decode_bytes(payload: Column) -> Column:
     """Bytes to text: UTF-8, else Windows-1250, else Latin-1.
 
-    Spark has no Windows-1250 decoder, so the Latin-1 text is translated sign by
-    sign; the pairs come from the codec itself.
+    Spark has no Windows-1250 decoder, so the Latin-1 text is translated sign by sign.
     """
-    upper = [bytes([b]) for b in range(128, 256)]
-    known = [b for b in upper if b.decode("cp1250", errors="ignore")]
-    unknown = "".join(b.decode("latin-1") for b in upper if b not in known)
+    signs, same_bytes, lacking = _central_signs()
     latin = F.decode(payload, "ISO-8859-1")
-    central = F.translate(
-        latin, "".join(b.decode("latin-1") for b in known), "".join(b.decode("cp1250") for b in known)
-    )
     text = payload.cast("string")
     return (
         F.when(F.is_valid_utf8(text), text)
-        .when(F.translate(latin, unknown, "") == latin, central)
+        .when(F.translate(latin, lacking, "") == latin, F.translate(latin, same_bytes, signs))
         .otherwise(latin)
     )
 
 
+def encode_central(text: Column) -> Column:
+    """Text to the bytes of Windows-1250, ``?`` for signs it does not have."""
+    signs, same_bytes, _ = _central_signs()
+    kept = F.regexp_replace(text, f"[^\\x00-\\x7F{signs}]", "?")
+    return F.encode(F.translate(kept, signs, same_bytes), "ISO-8859-1")
+
+
+def encode_latin(text: Column) -> Column:
+    """Text to the bytes of Latin-1, ``?`` for signs it does not have."""
+    return F.encode(F.regexp_replace(text, "[^\\x00-\\xFF]", "?"), "ISO-8859-1")
+
+
 def repair_utf8_read_as_latin1(text: Column) -> Column:
     """Undo UTF-8 bytes that were read as Latin-1; what cannot be undone is dropped."""
     only_latin = F.regexp_replace(text, "[^\\x00-\\xFF]", "")

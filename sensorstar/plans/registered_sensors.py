@@ -47,12 +47,13 @@ def tolerant_payloads(spark, sf_dir):
 
 
 def decoded_bytes(spark, sf_dir):
-    """Documents as bytes in three encodings, decoded without being told which."""
-    ascii_text = F.regexp_replace("text", "[^\\x00-\\x7F]", "")
+    """Whole documents as bytes in three encodings, decoded without being told which. Some
+    bytes before the text keep two of them from being read as another."""
+    whole = F.col("text")
     encoded = (
-        F.when(F.col("doc_id") % 3 == 0, F.encode("text", "UTF-8"))
-        .when(F.col("doc_id") % 3 == 1, F.concat(F.unhex(F.lit("E89E")), F.encode(ascii_text, "UTF-8")))
-        .otherwise(F.concat(F.unhex(F.lit("81E8")), F.encode(ascii_text, "UTF-8")))
+        F.when(F.col("doc_id") % 3 == 0, F.encode(whole, "UTF-8"))
+        .when(F.col("doc_id") % 3 == 1, F.concat(F.unhex(F.lit("E89E20")), text.encode_central(whole)))
+        .otherwise(F.concat(F.unhex(F.lit("81E820")), text.encode_latin(whole)))
     )
     documents = table(spark, sf_dir, "documents").select("doc_id", text.decode_bytes(encoded).alias("decoded"))
     return documents.select("doc_id", F.md5("decoded").alias("digest"), F.length("decoded").alias("length"))
