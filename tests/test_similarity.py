@@ -78,6 +78,24 @@ def test_long_chain_is_one_cluster(spark):
     assert found.select("cluster").distinct().count() == 1
 
 
+@pytest.mark.parametrize("seed", [7, 8, 9])
+def test_chains_need_few_links(spark, seed):
+    """One large cluster, in which all sets are similar, and some small ones."""
+    rng = random.Random(seed)
+    topics = {f"t{i}": {f"c{k}" for k in range(9)} | {f"own{i}"} for i in range(150)}
+    topics |= {f"u{i}": {f"d{rng.randrange(12)}" for _ in range(4)} for i in range(40)}
+    topics |= {f"v{i}": {f"c{rng.randrange(9)}", f"own{i}", "d1"} for i in range(10)}
+    sets = similarity.distinct_sets(frame(spark, topics))
+    components, links = similarity.chained_sets(sets, 0.5)
+    assert similarity.similar_sets(sets, 0.5).count() > 11_000 and links.count() < 3 * sets.count()
+    found: dict[str, set[str]] = {}
+    ids = sets.join(components, "set_id").collect()
+    of_keys = {frozenset(r["keys"]): r["component"] for r in ids}
+    for topic, keys in topics.items():
+        found.setdefault(of_keys[frozenset(keys)], set()).add(topic)
+    assert {frozenset(g) for g in found.values()} == brute_clusters(topics, 0.5)
+
+
 def test_known_clusters(spark):
     topics = {"A": {"x", "y", "z"}, "B": {"x", "y"}, "C": {"y", "w"}, "D": {"q"}}
     found: dict[str, set[str]] = {}
