@@ -3,9 +3,12 @@
 Texts are cut into lines and sentences. Neighbouring units that use the templates'
 words and hold a cue are a candidate block. Each template is a raw Zstandard
 dictionary; templates are ranked by how much smaller the block becomes with them, and
-the first whose exact wording differs in few enough words is the licence. Where none
-saves enough of a whole block, the same is done in each part of the block that has
-enough of a template's words, so that what stands beside a notice does not hide it.
+the first whose exact wording differs in few enough words is the licence. In long blocks,
+and where none saves enough of a whole block, the same is done in each part of the block
+that has enough of a template's words, so that what stands beside a notice does not hide it.
+
+Names, versions and numbers of clauses tell licences apart: they must not differ, however
+few the words are. A notice after a negation is none.
 """
 
 from __future__ import annotations
@@ -31,8 +34,10 @@ MOST_DIFFERENT = 0.15
 SIMILAR_SAVING = 0.15
 # Share of a unit's words that templates must use.
 SHARED_WORDS = 0.6
-REMEMBERED = 20_000
-CUE = r"licen[sc]|copyright|permission|redistribut|warrant|public domain|rights reserved"
+# Words of blocks remembered before a task starts anew, and of the longest block remembered.
+REMEMBERED = 400_000
+LONGEST_REMEMBERED = 400
+CUE = r"licen[sc]|copyright|permission|redistribut|warrant|public domain|rights reserved|(?:released|distributed|available) under|governed by"
 
 # Names of licences as notices write them.
 NAMES = (
@@ -59,9 +64,23 @@ NAMES = (
     ("CC-BY-4.0", "Creative Commons Attribution 4.0 International License"),
     ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("GPL-2.0", "GNU General Public License v2.0"),
+    ("GPL-2.0", "GNU GPL version 2"),
+    ("GPL-3.0", "GNU GPL version 3"),
+    ("EPL-1.0", "Eclipse Public License, version 1.0"),
+    ("EPL-2.0", "Eclipse Public License, version 2.0"),
+    ("EPL-2.0", "Eclipse Public License 2.0"),
+    ("MPL-2.0", "Mozilla Public License 2.0"),
+    ("BSD-4-Clause", "BSD 4-Clause License"),
 )
+# Identifiers that tag lines name.
+IDENTIFIERS = (
+    "MIT ISC Zlib Unlicense CC0-1.0 0BSD BSL-1.0 Apache-2.0 MPL-2.0 EPL-1.0 EPL-2.0 BSD-2-Clause BSD-3-Clause BSD-4-Clause "
+    "GPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later "
+    "LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC-BY-ND-4.0"
+).split()
 # How notices begin.
-FORMS = ("Licensed under {}.", "Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.", "This software is distributed under the {}.")
+FORMS = ("Licensed under {}.", "Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.", "This software is distributed under the {}.", "Distributed under the {}.", "Available under the terms of the {}.", "Governed by the {}.")
 # Grants and headers of licences.
 TEXTS = (
     (
@@ -125,13 +144,45 @@ TEXTS = (
         "arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial "
         "applications, and to alter it and redistribute it freely.",
     ),
+    (
+        "BSD-4-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+        "are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. All advertising materials mentioning features or use of this "
+        "software must display the following acknowledgement: This product includes software developed by the organization. Neither the name of "
+        "the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without "
+        "specific prior written permission.",
+    ),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
 )
+# Words by which licences are named.
+NAME_WORDS = frozenset(
+    "mit apache gnu gpl lgpl agpl lesser affero library mozilla mpl eclipse epl bsd isc zlib unlicense cc cc0 by by-sa by-nc by-nd by-nc-sa "
+    "by-nc-nd creative commons attribution attribution-sharealike attribution-noncommercial attribution-noderivatives universal "
+    "2-clause 3-clause 4-clause clear artistic boost new modified".split()
+)
+VERSION_WORDS = frozenset("version versions v".split())
+# Words that deny what follows, alone or as the last two.
+DENIALS = frozenset({("not",), ("never",), ("cannot",), ("isn", "t"), ("aren", "t"), ("wasn", "t"), ("no", "longer"), ("not", "be"), ("not", "been"), ("never", "been")})
+# Templates of up to so many words are notices: no number may be added to them.
+NOTICE = 16
 
 UNIT = re.compile(r"[^\n.!?]*(?:[.!?]+(?!\s)[^\n.!?]*)*[.!?]*\n?")
 WORD = re.compile(r"\w+(?:[.-]\w+)*")
 HAS_CUE = re.compile(CUE, re.I)
 
 
+def _tells(word: str) -> bool:
+    """Whether a word tells licences apart."""
+    return word in NAME_WORDS or any(map(str.isdigit, word))
+
+
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
@@ -141,7 +192,9 @@ class Finder:
 
     def __init__(self) -> None:
         notices = [(name, form.format(title)) for name, title in NAMES for form in FORMS]
-        self.templates = [(name, words_of(text)) for name, text in (*notices, *TEXTS)]
+        tags = [(name, f"SPDX-License-Identifier: {name}") for name in IDENTIFIERS]
+        self.templates = [(name, words_of(text)) for name, text in (*notices, *tags, *TEXTS)]
+        self.longest = max(len(words) for _, words in self.templates)
         self.vocabulary = {w for _, words in self.templates for w in words}
         settings = {"format": zstandard.FORMAT_ZSTD1_MAGICLESS, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
         parameters = zstandard.ZstdCompressionParameters.from_level(19, **settings)
@@ -154,6 +207,7 @@ class Finder:
             for _, words in self.templates
         ]
         self.known: dict[tuple[str, ...], list] = {}
+        self.kept = 0
         # Words of each template and how often, those of few templates first.
         spread = Counter(w for _, words in self.templates for w in set(words))
         self.counts = [sorted(Counter(words).items(), key=lambda c: (spread[c[0]], c[0])) for _, words in self.templates]
@@ -167,77 +221,112 @@ class Finder:
 
     def difference(self, words: list[str], template: list[str]) -> tuple[int, int, int]:
         """Words that differ between the template and the part of the block it covers,
-        and that part."""
+        and that part; all of the template's if a word differs that tells licences apart."""
+        none = len(template), 0, 0
         changes = SequenceMatcher(None, words, template, autojunk=False).get_opcodes()
         while changes and changes[0][0] == "delete":
             changes = changes[1:]
         while changes and changes[-1][0] == "delete":
             changes = changes[:-1]
         if not any(c[0] == "equal" for c in changes):
-            return len(template), 0, 0
-        first, last = changes[0][1], changes[-1][2]
-        different = sum(max(b - a, d - c) for kind, a, b, c, d in changes if kind != "equal")
+            return none
+        different, first, last = 0, changes[0][1], changes[-1][2]
+        for kind, a, b, c, d in changes:
+            if kind != "equal":
+                if any(_tells(word) for word in template[c:d]) or self._adds(words, a, b, template):
+                    return none
+                different += max(b - a, d - c)
+        return different, first, last
+
+    def _adds(self, words: list[str], low: int, high: int, template: list[str]) -> bool:
+        """Whether words that the block has in place of the template's, or besides, name
+        another licence or version, or deny it."""
+        for place in range(low, high):
+            word = words[place]
+            if word in NAME_WORDS or word in ("not", "never"):
+                return True
+            numbered = any(map(str.isdigit, word))
+            if numbered and (len(template) <= NOTICE or (place and words[place - 1] in VERSION_WORDS)):
+                return True
+        return False
+
+    def _confirmed(self, words: list[str], low: int, high: int, number: int) -> tuple[int, int, int] | None:
+        """``(words that differ, first, last)`` in the block, if few enough differ and
+        nothing denies the notice."""
+        template = self.templates[number][1]
+        different, first, last = self.difference(words[low:high], template)
+        if not last or different > MOST_DIFFERENT * len(template):
+            return None
+        first, last = low + first, low + last
+        if len(template) <= NOTICE and any(tuple(words[first - n : first]) in DENIALS for n in (1, 2) if first >= n):
+            return None
         return different, first, last
 
     def in_words(self, words: list[str]) -> list[tuple[str, int, int, int, float]]:
         """``(licence, first word, word after the last, words that differ, saving)``;
         what stands before and after a licence is searched again."""
+        if len(words) > LONGEST_REMEMBERED:
+            return self._search(words)
         found = self.known.get(tuple(words))
         if found is None:
-            if len(self.known) >= REMEMBERED:
+            if self.kept >= REMEMBERED:
                 self.known.clear()
-            found = self.known[tuple(words)] = self._search(words, 0, len(words))
+                self.kept = 0
+            found = self.known[tuple(words)] = self._search(words)
+            self.kept += len(words)
         return found
 
-    def _search(self, words: list[str], low: int, high: int) -> list:
-        found, todo = [], [(low, high)]
+    def _search(self, words: list[str]) -> list:
+        found, todo = [], [(0, len(words))]
         while todo:
             low, high = todo.pop()
-            part = words[low:high]
-            if not part or not HAS_CUE.search(" ".join(part)):
+            if low >= high or not HAS_CUE.search(" ".join(words[low:high])):
                 continue
-            winner = self._winner(part)
+            winner = self._winner(words, low, high) if high - low <= 2 * self.longest else None
             if winner:
-                name, first, last, different, saving = winner
-                found.append((name, low + first, low + last, different, saving))
-                todo += [(low, low + first), (low + last, high)]
+                found.append(winner)
+                todo += [(low, winner[1]), (winner[2], high)]
                 continue
-            end = low
-            for name, first, last, different, saving in self._hidden(part):
-                found.append((name, low + first, low + last, different, saving))
-                todo.append((end, low + first))
-                end = low + last
-            if end > low:
-                todo.append((end, high))
+            hidden = self._hidden(words, low, high)
+            found += hidden
+            ends = [low, *[h[2] for h in hidden]]
+            todo += [gap for gap in zip(ends, [*[h[1] for h in hidden], high], strict=True) if hidden]
         return sorted(found, key=lambda f: f[1])
 
-    def _hidden(self, words: list[str]) -> list[tuple[str, int, int, int, float]]:
-        """Confirmed templates of which no two share a word of the block, in order:
-        those with the most words in common first, then those that save most."""
-        confirmed = []
-        for number, low, high in self._windows(words):
-            name, template = self.templates[number]
-            different, first, last = self.difference(words[low:high], template)
-            if last and different <= MOST_DIFFERENT * len(template):
-                block = " ".join(words[low + first : low + last]).encode()
-                saving = 1 - len(self.primed[number].compress(block)) / len(self.plain.compress(block))
-                if saving >= LEAST_SAVING:
-                    confirmed.append((len(template) - different, saving, name, low + first, low + last, different))
-        taken, chosen = bytearray(len(words)), []
-        for _, saving, name, first, last, different in sorted(confirmed, key=lambda c: (-c[0], -c[1], c[3])):
-            if not any(taken[first:last]):
-                taken[first:last] = b"\1" * (last - first)
-                chosen.append((name, first, last, different, saving))
+    def _hidden(self, words: list[str], low: int, high: int) -> list[tuple[str, int, int, int, float]]:
+        """Confirmed templates of which no two share a word of the block, in order. Parts
+        of the block are ranked by the bytes their template saves; words that are taken
+        are looked at no more."""
+        ranked = []
+        for number, first, last in self._windows(words, low, high):
+            block = " ".join(words[first:last]).encode()
+            size = len(self.plain.compress(block))
+            saved = size - len(self.primed[number].compress(block))
+            if saved >= LEAST_SAVING * size:
+                ranked.append((-saved, first, number, last))
+        taken, chosen = bytearray(high - low), []
+        for saved, first, number, last in sorted(ranked):
+            while first < last and taken[first - low]:
+                first += 1
+            while first < last and taken[last - 1 - low]:
+                last -= 1
+            confirmed = self._confirmed(words, first, last, number) if last > first else None
+            if confirmed:
+                different, first, last = confirmed
+                if not any(taken[first - low : last - low]):
+                    taken[first - low : last - low] = b"\1" * (last - first)
+                    size = len(self.plain.compress(" ".join(words[first:last]).encode()))
+                    chosen.append((self.templates[number][0], first, last, different, min(1.0, -saved / size)))
         return sorted(chosen, key=lambda c: c[1])
 
-    def _windows(self, words: list[str]) -> Iterator[tuple[int, int, int]]:
-        """``(template, first word, word after the last)`` of all parts that could be
-        confirmed: as long as the template and the words that may differ, with all its
-        words but those, beginning with one of them."""
+    def _windows(self, words: list[str], low: int, high: int) -> Iterator[tuple[int, int, int]]:
+        """``(template, first word, word after the last)`` of the parts that could be
+        confirmed, the best one at each place: as long as the template and the words that
+        may differ, with all its words but those, beginning with one of them."""
         places = defaultdict(list)
-        for place, word in enumerate(words):
-            if word in self.vocabulary:
-                places[word].append(place)
+        for place in range(low, high):
+            if words[place] in self.vocabulary:
+                places[words[place]].append(place)
         for number, counts in enumerate(self.counts):
             length = len(self.templates[number][1])
             spare = may_differ = int(MOST_DIFFERENT * length)
@@ -250,29 +339,37 @@ class Finder:
             wanted = dict(counts)
             at = sorted(p for word in wanted for p in places.get(word, ()))
             inside, common, end = Counter(), 0, 0
+            best: tuple[int, int, int] | None = None  # words in common, first, last
             for begin, first in enumerate(at):
                 while end < len(at) and at[end] < first + length + may_differ:
                     inside[words[at[end]]] += 1
                     common += inside[words[at[end]]] <= wanted[words[at[end]]]
                     end += 1
                 if common >= length - may_differ:
-                    yield number, first, at[end - 1] + 1
+                    if best and first >= best[1] + length - may_differ:
+                        yield number, best[1], best[2]
+                        best = None
+                    # Of equal ones the last: it begins with the template's first word.
+                    if best is None or common >= best[0]:
+                        best = common, first, at[end - 1] + 1
                 common -= inside[words[at[begin]]] <= wanted[words[at[begin]]]
                 inside[words[at[begin]]] -= 1
+            if best:
+                yield number, best[1], best[2]
 
-    def _winner(self, words: list[str]) -> tuple[str, int, int, int, float] | None:
+    def _winner(self, words: list[str], low: int, high: int) -> tuple[str, int, int, int, float] | None:
         """The confirmed template with the fewest differing words among those that save
         about as much as the first one confirmed."""
         best, bound = None, 0.0
-        for saving, number in self.savings(words):
+        for saving, number in self.savings(words[low:high]):
             if best and saving < bound:
                 break
-            name, template = self.templates[number]
-            different, first, last = self.difference(words, template)
-            if different <= MOST_DIFFERENT * len(template):
+            confirmed = self._confirmed(words, low, high, number)
+            if confirmed:
+                different, first, last = confirmed
                 bound = bound or saving - SIMILAR_SAVING
                 if best is None or different < best[3]:
-                    best = (name, first, last, different, saving)
+                    best = (self.templates[number][0], first, last, different, saving)
         return best
 
     def blocks(self, text: str) -> list[list[tuple[str, int, int]]]:
@@ -324,8 +421,9 @@ def scan_licenses(documents: DataFrame) -> DataFrame:
     ``exact``.
 
     Null and empty texts, and texts without a cue, have no rows. Ids may be null or
-    repeat; each row is scanned by itself, whole, whatever its length. Other columns
-    are not read.
+    repeat; each row is scanned by itself, whole, whatever its length. Of templates that
+    differ in equally many words the one that saves more is the licence. An empty table
+    gives an empty one. Other columns, also ones named like the result's, are not read.
     """
     kind = "license string, start bigint, end bigint, n_words bigint, n_different bigint, saving double"
 
