@@ -298,7 +298,11 @@ class Finder:
         of the block are ranked by the bytes their template saves; words that are taken
         are looked at no more."""
         ranked = []
-        for number, first, last in self._windows(words, low, high):
+        for number, windows in self._windows(words, low, high):
+            possible = [c for c in (self._confirmed(words, first, last, number) for first, last in windows) if c]
+            if not possible:
+                continue
+            _, first, last = min(possible)
             block = " ".join(words[first:last]).encode()
             size = len(self.plain.compress(block))
             saved = size - len(self.primed[number].compress(block))
@@ -319,10 +323,11 @@ class Finder:
                     chosen.append((self.templates[number][0], first, last, different, min(1.0, -saved / size)))
         return sorted(chosen, key=lambda c: c[1])
 
-    def _windows(self, words: list[str], low: int, high: int) -> Iterator[tuple[int, int, int]]:
-        """``(template, first word, word after the last)`` of the parts that could be
-        confirmed, the best one at each place: as long as the template and the words that
-        may differ, with all its words but those, beginning with one of them."""
+    def _windows(self, words: list[str], low: int, high: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        """Templates with the parts ``(first word, word after the last)`` at one place that
+        could be confirmed: as long as the template and the words that may differ, with all
+        its words but those, beginning with one of them. Of parts that overlap, those with
+        the most words in common."""
         places = defaultdict(list)
         for place in range(low, high):
             if words[place] in self.vocabulary:
@@ -339,23 +344,24 @@ class Finder:
             wanted = dict(counts)
             at = sorted(p for word in wanted for p in places.get(word, ()))
             inside, common, end = Counter(), 0, 0
-            best: tuple[int, int, int] | None = None  # words in common, first, last
+            most, parts = 0, []
             for begin, first in enumerate(at):
                 while end < len(at) and at[end] < first + length + may_differ:
                     inside[words[at[end]]] += 1
                     common += inside[words[at[end]]] <= wanted[words[at[end]]]
                     end += 1
                 if common >= length - may_differ:
-                    if best and first >= best[1] + length - may_differ:
-                        yield number, best[1], best[2]
-                        best = None
-                    # Of equal ones the last: it begins with the template's first word.
-                    if best is None or common >= best[0]:
-                        best = common, first, at[end - 1] + 1
+                    if parts and first >= parts[0][0] + length - may_differ:
+                        yield number, parts
+                        most, parts = 0, []
+                    if common > most:
+                        most, parts = common, []
+                    if common == most:
+                        parts.append((first, at[end - 1] + 1))
                 common -= inside[words[at[begin]]] <= wanted[words[at[begin]]]
                 inside[words[at[begin]]] -= 1
-            if best:
-                yield number, best[1], best[2]
+            if parts:
+                yield number, parts
 
     def _winner(self, words: list[str], low: int, high: int) -> tuple[str, int, int, int, float] | None:
         """The confirmed template with the fewest differing words among those that save
