@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from sensorstar.llm.common import by_batch
 
-# Words whose result a task remembers before it starts anew.
-REMEMBERED = 150_000
+# Signs of words whose result a task remembers before it starts anew, and of the longest
+# word remembered: texts without spaces fill no memory.
+REMEMBERED = 2_500_000
+LONGEST_REMEMBERED = 64
 # Pairs of tokens whose compatibility a task remembers before it starts anew.
 REMEMBERED_PAIRS = 400_000
 NEVER = 1 << 60
@@ -34,12 +36,16 @@ class Remembered(dict):
 
     def __init__(self, make: Callable) -> None:
         super().__init__()
-        self.make = make
+        self.make, self.signs = make, 0
 
     def __missing__(self, word: str):
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = self.make(word)
+        found = self.make(word)
+        if len(word) <= LONGEST_REMEMBERED:
+            if self.signs >= REMEMBERED:
+                self.clear()
+                self.signs = 0
+            self[word] = found
+            self.signs += len(word)
         return found
 
 

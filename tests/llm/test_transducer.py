@@ -134,3 +134,20 @@ def test_round_trip_of_rows(spark, ranks, library):
 def test_empty_table(spark, ranks):
     got = transducer.byte_round_trip(spark.createDataFrame([], DOC), ranks, PATTERN, with_ids=False)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() == 0
+
+
+def test_long_words_are_not_kept(ranks):
+    """100,000 different words of a kilobyte leave the caches small."""
+    from sensorstar.llm import bpe
+
+    made = bpe.Remembered(lambda word: word * 2)
+    small = transducer.ByteCodec(ranks, PATTERN)
+    for n in range(100_000):
+        word = f"{n:06d}" * 170
+        assert made[word] == word * 2
+    for n in range(300):
+        small.encode(f"{n:06d}" * 170)
+    assert not made and not small.known
+    for n in range(400_000):
+        made[f"word{n}"]
+    assert 0 < made.signs <= bpe.REMEMBERED + bpe.LONGEST_REMEMBERED
