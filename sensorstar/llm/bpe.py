@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorstar.llm.common import by_batch
+from sensorstar.llm.transducer import ascii_form
 
 # Signs of words whose result a task remembers before it starts anew, and of the longest
 # word remembered: texts without spaces fill no memory.
-REMEMBERED = 2_500_000
+REMEMBERED = 1_800_000
 LONGEST_REMEMBERED = 64
 # Pairs of tokens whose compatibility a task remembers before it starts anew.
 REMEMBERED_PAIRS = 400_000
@@ -189,7 +190,7 @@ class Codec:
         merges = Merges(tokenizer)
         byte_of = {sign: byte for byte, sign in enumerate(byte_signs())}
         self.split_special, self.special = merges.split_special, merges.special
-        self.pattern = regex.compile(pattern)
+        self.pattern, self.ascii_pattern = regex.compile(pattern), re.compile(ascii_form(pattern), re.ASCII)
         size = max([*merges.ids.values(), *merges.special.values()]) + 1
         contents = [b""] * size
         for sign, number in merges.ids.items():
@@ -211,7 +212,7 @@ class Codec:
         for content, number in number_of.items():
             self.matcher.add_word(content.decode("latin-1"), (len(content), number))
         self.matcher.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.shorter: dict[int, int | None] = {}
         self.whole: dict[int, bool] = {}
         self.known = Remembered(self._word)
@@ -229,11 +230,12 @@ class Codec:
     def compatible(self, left: int, right: int) -> bool:
         """No merge across the border comes before the pieces beside it are taken up
         by their own tokens. Of equal ranks, the merge further left comes first."""
-        found = self.pairs.get((left, right))
+        key = left << 32 | right
+        found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) >= REMEMBERED_PAIRS:
                 self.pairs.clear()
-            found = self.pairs[left, right] = self._stay_apart(self._edge(left, True), self._edge(right, False))
+            found = self.pairs[key] = self._stay_apart(self._edge(left, True), self._edge(right, False))
         return found
 
     def _stay_apart(self, left: list, right: list) -> bool:
@@ -313,20 +315,20 @@ class Codec:
             else:
                 token = self._next_shorter(token)
 
-    def _word(self, word: str) -> tuple[str, bytes]:
-        tokens = self.encode_word(word.encode())
-        return ",".join(map(str, tokens)), np.array(tokens, np.uint32).tobytes()
+    def _word(self, word: str) -> str:
+        return ",".join(map(str, self.encode_word(word.encode())))
 
     def encode(self, text: str) -> tuple[str, np.ndarray]:
         """Identifiers as decimal text joined by commas, and as numbers."""
-        words: list[tuple[str, bytes]] = []
+        words: list[str] = []
         for place, piece in enumerate(self.split_special(text)):
             if place % 2:
-                number = self.special[piece]
-                words.append((str(number), np.array([number], np.uint32).tobytes()))
+                words.append(str(self.special[piece]))
             else:
-                words += map(self.known.__getitem__, self.pattern.findall(piece))
-        return ",".join([w[0] for w in words]), np.frombuffer(b"".join([w[1] for w in words]), np.uint32)
+                pattern = self.ascii_pattern if piece.isascii() else self.pattern
+                words += map(self.known.__getitem__, pattern.findall(piece))
+        shown = ",".join(words)
+        return shown, np.fromstring(shown, np.uint32, sep=",")
 
     def decode(self, numbers: np.ndarray) -> str:
         """Texts of tokens, looked up by their offsets in the joined vocabulary."""
