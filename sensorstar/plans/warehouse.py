@@ -21,7 +21,7 @@ from sensorstar.functions import timeparts
 from sensorstar.operators import control, dimensions, facts, staging
 from sensorstar.plans.profiles import CANON, Profile
 from sensorstar.plans.segments import Manifest, SegmentStore, Table
-from sensorstar.session import folders, literal_rows, pinned, removed
+from sensorstar.session import bounded, folders, literal_rows, pinned, removed
 from sensorstar.sources.landing import incremental_scan
 
 MEMBER_SCHEMA = "dimension string, member string, key long"
@@ -243,7 +243,8 @@ class Warehouse:
 
     def _load(self, messages: DataFrame, load: int) -> LoadReport:
         staged_path = f"{self.path('staging')}/load={load}"
-        staging.camera_staging(messages, self.profile).write.mode("overwrite").parquet(staged_path)
+        # one task a row group would read a large file of one row group alone
+        staging.camera_staging(bounded(messages), self.profile).write.mode("overwrite").parquet(staged_path)
         staged = self.spark.read.schema(staging.STAGING_SCHEMA).parquet(staged_path)
         rows, last_id = staging.staging_mark(staged).first()
 
