@@ -287,17 +287,16 @@ class Codec:
             )
         return self.shorter[token]
 
+    def _longest(self, text: str, at: int) -> int | None:
+        """The longest token at one place; only places that a row of tokens reaches are asked."""
+        last, (length, number) = next(self.matcher.iter_long(text, at), (0, (0, None)))
+        return number if last - length + 1 == at else None
+
     def encode_word(self, data: bytes) -> list[int]:
-        total = len(data)
-        longest: list = [None] * total
-        best = [0] * total
-        for last, (length, number) in self.matcher.iter(data.decode("latin-1")):
-            start = last - length + 1
-            if length > best[start]:
-                best[start], longest[start] = length, number
+        total, text = len(data), data.decode("latin-1")
         tokens: list[int] = []
         dead = bytearray(total + 1)
-        at, token = 0, longest[0]
+        at, token = 0, self._longest(text, 0)
         while True:
             if token is None:
                 dead[at] = 1
@@ -311,7 +310,7 @@ class Codec:
                 at = end
                 if at == total:
                     return tokens
-                token = longest[at]
+                token = self._longest(text, at)
             else:
                 token = self._next_shorter(token)
 
