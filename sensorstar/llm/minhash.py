@@ -111,6 +111,16 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
+def _stars(links: DataFrame) -> DataFrame:
+    """The same components with about one link a node. A class may be linked with the
+    leader of each band, so a group of near copies has up to ``BANDS`` links a class: each
+    class keeps its smallest leader, which is linked with its others, each pair once."""
+    # as many leaders at most as there are bands
+    led = links.groupBy("b").agg(F.collect_set("a").alias("leaders"))
+    ends = F.explode(F.concat("leaders", F.array("b")))
+    return led.select(F.array_min("leaders").alias("a"), ends.alias("b")).where("a <> b").distinct()
+
+
 def _bucket_links(members: DataFrame) -> DataFrame:
     """Links between components inside buckets, ``(a, b)``.
 
@@ -202,9 +212,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     compared = pairs.join(first, "a").join(second, "b").where(F.least(*sizes) * 100 >= F.greatest(*sizes) * SIMILAR_PERCENT)
     links = compared.where(_similar(F.size(F.array_intersect("of_a", "of_b")), *sizes)).select("a", "b")
     copies = docs.join(classes, "digest").where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    links = stored(links)
+    linked = components(_stars(links))
 
-    labelled = met.join(components(links), F.col("rep") == F.col("node"), "left")
+    labelled = met.join(linked, F.col("rep") == F.col("node"), "left")
     labelled = labelled.select("key", "rep", F.coalesce("component", "rep").alias("component"))
     mixed_buckets = (
         labelled.groupBy("key")
@@ -213,7 +223,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .select("key", "size")
     )
     members = labelled.join(mixed_buckets, "key").join(sets, "rep")
-    joined = links.union(_bucket_links(members))
+    # the components found so far stand for their links
+    joined = linked.select(F.col("component").alias("a"), F.col("node").alias("b")).where("a <> b").union(_bucket_links(members))
     one = classes.select(F.col("rep").alias("a"), F.col("first").alias("of_a"))
     other = classes.select(F.col("rep").alias("b"), F.col("first").alias("of_b"))
     joined = joined.join(one, "a").join(other, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))

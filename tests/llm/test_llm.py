@@ -70,6 +70,24 @@ def test_near_duplicates_equal_all_pairs(spark):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got.values())
 
 
+def test_a_group_of_near_copies_has_few_links_a_text(spark, monkeypatch):
+    """Each copy meets other leaders in other bands; the components need few of these links."""
+    rng, counts = random.Random(8), []
+    base = [f"w{n}" for n in range(200)]
+    texts = [" ".join(f"x{rng.randrange(10**6)}" if rng.random() < 0.01 else w for w in base) for _ in range(80)]
+
+    def counted(links):
+        counts.append(links.where("a <> b").distinct().count())
+        return real(links)
+
+    real = minhash.components
+    monkeypatch.setattr(minhash, "components", counted)
+    found = minhash.near_duplicates(documents(spark, texts)).collect()
+    linked = sum(r["component_id"] == 0 for r in found)
+    assert linked > 70
+    assert len(counts) == 2 and max(counts) <= 2 * linked
+
+
 def test_near_duplicates_of_awkward_tables(spark):
     assert minhash.near_duplicates(documents(spark, [])).count() == 0
     rows = documents(spark, ["a b c d e f", "a b c d e f", "z y", "z y"], [7, 7, None, 3])
