@@ -58,21 +58,19 @@ def stored_name(path: str) -> str:
     return f"payload__{path}" if path in BASE_COLUMNS else path
 
 
-def misfits(leaves: Column, types: Column) -> Column:
-    """Leaves whose value does not fit the type of their column, with the type."""
+def misfits(types: dict[str, str]) -> Column:
+    """Values of ``_map`` that the typed columns beside it do not hold, with the type. A
+    column that is filled had a value that fits, so only empty ones look for theirs."""
 
-    def fits(value: Column, kind: Column) -> Column:
-        found = F.lit(True)
-        for name in ("BIGINT", "DOUBLE PRECISION", "BOOLEAN", "TIMESTAMPTZ"):
-            found = F.when(kind == name, discovery.conformed(value, name).isNotNull()).otherwise(found)
-        return found
-
-    def entry(leaf: Column) -> Column:
-        kind, shown = F.try_element_at(types, leaf["path"]), P.text_of(leaf["value"])
-        bad = shown.isNotNull() & ~fits(leaf["value"], kind)
-        return F.when(bad, F.struct(leaf["path"].alias("path"), kind.alias("type"), shown.alias("text")))
+    def entry(path: str, kind: str) -> Column:
+        shown = P.text_of(F.try_element_at("_map", F.lit(path)))
+        found = F.struct(F.lit(path).alias("path"), F.lit(kind).alias("type"), shown.alias("text"))
+        return F.when(F.col(f"`{stored_name(path)}`").isNull() & shown.isNotNull(), found)
 
-    return F.filter(F.transform(leaves, entry), lambda found: found.isNotNull())
+    entries = [entry(path, kind) for path, kind in sorted(types.items()) if kind in discovery.CHECKED_TYPES]
+    if not entries:
+        return F.array().cast(REJECT_SCHEMA.split(" ", 1)[1])
+    return F.filter(F.array(*entries), lambda found: found.isNotNull())
 
 
 class DynamicStaging:
@@ -213,17 +211,16 @@ class DynamicStaging:
         fresh.coalesce(1).write.mode("overwrite").parquet(f"{self._folder('columns', group)}/load={load}")
         types = discovery.column_types(columns)
         mine = rows.where(F.col("group_id") == group)
-        pairs = [F.lit(value) for pair in sorted(types.items()) for value in pair]
-        kinds = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string, string>")
         mine = mine.select(
             F.col("id").alias("landing_id"),
             F.col("time").alias("original_time"),
             "topic",
             F.current_timestamp().alias("load_dttm"),
-            F.coalesce(misfits(F.col("leaves"), kinds), F.array()).alias("rejected"),
             "leaves",
         )
-        wide = discovery.wide(mine, [*BASE_COLUMNS, "rejected"], types, stored_name)
+        names = [f"`{stored_name(path)}`" for path in sorted(types)]
+        wide = discovery.wide(mine, [*BASE_COLUMNS, "_map"], types, stored_name)
+        wide = wide.select(*BASE_COLUMNS, misfits(types).alias("rejected"), *names)
         wide.write.mode("overwrite").parquet(f"{self._folder('rows', group)}/load={load}")
         return fresh.count()
 

@@ -87,6 +87,25 @@ def test_a_failing_group_leaves_the_others(spark, tmp_path):
     assert ("ab", ERROR, 1) in map(tuple, statuses) and ("ab", SUCCESS, 1) in map(tuple, statuses)
 
 
+def test_rejects_come_from_the_typed_columns(spark, tmp_path, monkeypatch):
+    """Each column's values are conformed once, not again to find those that do not fit."""
+    real, kinds = discovery.conformed, []
+
+    def counted(value, kind):
+        kinds.append(kind)
+        return real(value, kind)
+
+    monkeypatch.setattr(discovery, "conformed", counted)
+    found = tables(spark, tmp_path, GROUPS)
+    found.load(landing(spark, MESSAGES))
+    assert len(kinds) == sum(len(found.columns(group)) for group in ("ab", "c"))
+    rejects = sorted(tuple(r) for r in found.rejects("ab").select("landing_id", "path", "type", "text").collect())
+    assert rejects == [
+        (5, "flag", "BOOLEAN", "yes"), (5, "n", "BIGINT", "3f not retrieved"), (7, "at", "TIMESTAMPTZ", "not a time"),
+    ]
+    assert found.rejects("c").count() == 0
+
+
 def test_a_group_that_dies_while_writing_is_written_again(spark, tmp_path, monkeypatch):
     found = tables(spark, tmp_path, GROUPS)
     wide = discovery.wide
